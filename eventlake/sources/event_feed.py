@@ -1,0 +1,119 @@
+"""Kafka-shaped rows derived from the given ``events`` table.
+
+The same projection serves batch and streaming reads. Each row becomes one JSON
+message; ``error`` rows become broken JSON.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+# Values the test feed cycles through. ZZ has no country name.
+COUNTRY_CYCLE = ("US", "UK", "BR", "JP", "DE", "FR", "IN", "CN", "CA", "AU", "ZZ")
+PLATFORM_CYCLE = ("iOS", "Android", "Web")
+DEVICE_CYCLE = ("iPhone 14", "Galaxy S23", "Chrome")
+BROKEN_JSON = "{bad"
+
+
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream, read in place."""
+    path = f"{sf_dir}/events.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+
+
+def _pick(values: tuple[str, ...], position: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (position + 1).cast("int"))
+
+
+def _user(number: Column) -> Column:
+    return F.concat(F.lit("user_"), F.lpad(number.cast("string"), 6, "0"))
+
+
+def _text(value: Column) -> Column:
+    return F.concat(F.lit('"'), value, F.lit('"'))
+
+
+def _object(*pairs: tuple[str, Column]) -> Column:
+    """JSON object text from (key, JSON value text) pairs; null values drop their key."""
+    members = [F.concat(F.lit(f'"{key}":'), value.cast("string")) for key, value in pairs]
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+
+
+def kafka_rows(events: DataFrame, with_invalid: bool = False) -> DataFrame:
+    """One Kafka-shaped row per event.
+
+    ``with_invalid`` plants schema violations, by ``event_id``, for the validator.
+    """
+    ts = F.col("ts").cast("timestamp")
+    event_id, user = F.col("event_id"), F.col("user_id")
+    event_type = F.col("event_type")
+    k = F.get_json_object("props", "$.k").cast("int")
+    fault = event_id % 97 if with_invalid else F.lit(0)
+
+    time = F.when(fault == 1, F.lit(-1)).otherwise(F.unix_millis(ts))
+    country = _text(_pick(COUNTRY_CYCLE, user % 11))
+    platform = _text(_pick(PLATFORM_CYCLE, event_id % 3))
+    extra = ("extra", F.when(fault == 2, F.lit(1)))
+    user_a, user_b = _user(user), _user(user + 1 + k)
+
+    postmatch = [
+        ("coin-balance-after-match", k * 100),
+        ("level-after-match", k + 1),
+        ("device", _text(_pick(DEVICE_CYCLE, k % 3))),
+        ("platform", _text(_pick(PLATFORM_CYCLE, (event_id + k) % 3))),
+    ]
+    init = _object(
+        ("event-type", F.lit('"init"')),
+        ("time", time),
+        ("user-id", _text(_user(user))),
+        ("country", F.when(fault != 4, country)),
+        ("platform", platform),
+        extra,
+    )
+    match = _object(
+        ("event-type", F.lit('"match"')),
+        ("time", time),
+        ("user-a", _text(user_a)),
+        ("user-b", _text(user_b)),
+        ("user-a-postmatch-info", _object(*postmatch)),
+        ("user-b-postmatch-info", F.when(event_id % 7 != 0, _object(*postmatch))),
+        ("winner", _text(F.when(event_id % 2 == 0, user_a).otherwise(user_b))),
+        ("game-tier", F.when(fault == 3, F.lit(9)).otherwise(k % 5 + 1)),
+        ("duration", 30 + k * 5),
+        extra,
+    )
+    purchase = _object(
+        ("event-type", F.lit('"in-app-purchase"')),
+        ("time", time),
+        ("purchase_value", F.col("value")),
+        ("user-id", _text(_user(user))),
+        (
+            "product-id",
+            _text(F.concat(F.lit("PROD"), F.lpad((k % 12 + 1).cast("string"), 3, "0"))),
+        ),
+        extra,
+    )
+    payload = (
+        F.when(event_type.isin("signup", "view"), init)
+        .when(event_type == "click", match)
+        .when(event_type == "purchase", purchase)
+        .otherwise(F.lit(BROKEN_JSON))
+    )
+    topic = (
+        F.when(event_type == "click", F.lit("match_events"))
+        .when(event_type == "purchase", F.lit("purchase_events"))
+        .otherwise(F.lit("init_events"))
+    )
+    return events.select(
+        _user(user).cast("binary").alias("key"),
+        payload.cast("binary").alias("value"),
+        topic.alias("topic"),
+        (event_id % 3).cast("int").alias("partition"),
+        event_id.alias("offset"),
+        ts.alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
