@@ -39,6 +39,11 @@ BRONZE_COLUMNS = (
     "kafka_offset",
 )
 
+BRONZE_DDL = (
+    "event_json string, ingestion_timestamp timestamp, kafka_timestamp timestamp, "
+    "kafka_topic string, kafka_partition int, kafka_offset bigint"
+)
+
 # Columns stamped with processing time; they differ on every run.
 PROCESSING_TIME_COLUMNS = (
     "ingestion_timestamp",

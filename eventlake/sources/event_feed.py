@@ -20,9 +20,13 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream, read in place."""
-    path = f"{sf_dir}/events.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """The events table as a stream, read in place.
+
+    The path is a glob because the file source takes a single file only that way;
+    it matches a folder of part files as well.
+    """
+    schema = read_events(spark, sf_dir).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
 
 
 def _pick(values: tuple[str, ...], position: Column) -> Column:
@@ -51,7 +55,7 @@ def kafka_rows(events: DataFrame, with_invalid: bool = False) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
     event_id, user = F.col("event_id"), F.col("user_id")
     event_type = F.col("event_type")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     fault = event_id % 97 if with_invalid else F.lit(0)
 
     time = F.when(fault == 1, F.lit(-1)).otherwise(F.unix_millis(ts))
@@ -108,7 +112,8 @@ def kafka_rows(events: DataFrame, with_invalid: bool = False) -> DataFrame:
         .when(event_type == "purchase", F.lit("purchase_events"))
         .otherwise(F.lit("init_events"))
     )
-    return events.select(
+    with_k = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return with_k.select(
         _user(user).cast("binary").alias("key"),
         payload.cast("binary").alias("value"),
         topic.alias("topic"),
