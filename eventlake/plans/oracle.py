@@ -239,7 +239,7 @@ def _ok(path: str, kind: str, low: int, high: int | None = None) -> str:
             + ")"
         )
     types = "('UBIGINT','BIGINT')" if kind == "integer" else "('UBIGINT','BIGINT','DOUBLE')"
-    number = f"cast({text} AS double)"
+    number = f"try_cast({text} AS double)"
     return f"({json_type} IN {types} AND {number} >= {low}" + upper.format(number) + ")"
 
 
@@ -362,13 +362,13 @@ joined AS (
 )"""
 
 
-def _purchases(width: int, having: str = "") -> str:
+def _purchases(width: int) -> str:
     return f"""
 SELECT {_window("sec", width)} AS window_start,
        {_window("sec", width)} + INTERVAL {width} SECOND AS window_end,
        count(*) AS purchase_count, round(sum(value), 2) AS total_revenue,
        count(DISTINCT uid) AS distinct_users
-FROM purchase GROUP BY ALL {having}"""
+FROM purchase GROUP BY ALL"""
 
 
 def _matches(width: int) -> str:
@@ -425,11 +425,12 @@ kept AS (
         - INTERVAL 10 MINUTE, true)
 )"""
 _LATE_BODY = f"""
-SELECT {_window("sec", 60)} AS window_start,
-       {_window("sec", 60)} + INTERVAL 1 MINUTE AS window_end,
-       count(*) AS purchase_count, round(sum(value), 2) AS total_revenue
-FROM kept GROUP BY ALL
-HAVING window_end <= (SELECT max(event_ts) FROM purchase) - INTERVAL 10 MINUTE"""
+SELECT * FROM (
+  SELECT {_window("sec", 60)} AS window_start,
+         {_window("sec", 60)} + INTERVAL 1 MINUTE AS window_end,
+         count(*) AS purchase_count, round(sum(value), 2) AS total_revenue
+  FROM kept GROUP BY ALL)
+WHERE window_end <= (SELECT max(event_ts) FROM purchase) - INTERVAL 10 MINUTE"""
 
 
 def _few(fallback: str) -> str:
@@ -624,9 +625,9 @@ SELECT {_window("sec", 60)} AS window_start,
 FROM (SELECT sec, uid AS player FROM game UNION ALL SELECT sec, uid_b FROM game) GROUP BY ALL"""
     ),
     "minute_purchases_since": _with(
-        _top(
-            _purchases(60, f"HAVING window_start >= TIMESTAMP '{SINCE}'"), "window_start DESC", 10
-        )
+        f"""
+SELECT * FROM ({_purchases(60)}) WHERE window_start >= TIMESTAMP '{SINCE}'
+ORDER BY window_start DESC LIMIT 10"""
     ),
     "layer_counts": _with(_layer_counts(), _BUYERS, _GAMES_TOO),
     "report_bronze_by_topic": _with(_count_by("topic AS kafka_topic", "feed")),
