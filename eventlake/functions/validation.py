@@ -1,142 +1,185 @@
-"""Payload validation as column predicates over a parsed variant.
+"""Payload validation as column expressions over a parsed variant.
 
-Each event type has a table of fields. ``kind`` is what the JSON value must be,
-``low``/``high`` bound the length of strings and the value of numbers.
+The constraints are data: a literal map of field rules by event type. The payload's
+members are looked up in it, so the expression stays small however many fields exist.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
+from sys import float_info
 
 from pyspark.sql import Column, functions as F
 
+Bounds = tuple[float, float]
+inf = float_info.max
+
 
 @dataclass(frozen=True)
 class FieldRule:
-    kind: str  # string | integer | number | string_or_integer | object
-    low: int = 0
-    high: int | None = None
+    """What a field may hold: JSON kinds it accepts, each with inclusive bounds.
+
+    ``text`` bounds the length of a string, ``integer`` and ``fraction`` the value of a
+    number without and with a decimal point. A kind without bounds is not accepted.
+    """
+
+    text: Bounds | None = None
+    integer: Bounds | None = None
+    fraction: Bounds | None = None
+    is_object: bool = False
     required: bool = True
-    members: dict[str, "FieldRule"] | None = None
 
 
 # Constraints of the three payload schemas.
-_EPOCH_MS = FieldRule("integer", 0)
-_USER_ID = FieldRule("string_or_integer", 1, 50)
-_PLAYER = FieldRule("string", 1, 50)
-_POSTMATCH = {
-    "coin-balance-after-match": FieldRule("integer", 0),
-    "level-after-match": FieldRule("integer", 0),
-    "device": FieldRule("string", 1, 200),
-    "platform": FieldRule("string", 1, 10),
-}
+_TYPE = FieldRule(text=(1, 100))
+_COUNT = FieldRule(integer=(0, inf))
+_NAME = FieldRule(text=(1, 100))
+_PLAYER = FieldRule(text=(1, 50))
+_USER_ID = FieldRule(text=(1, 50), integer=(0, inf))
 PAYLOAD_RULES: dict[str, dict[str, FieldRule]] = {
     "init": {
-        "time": _EPOCH_MS,
+        "event-type": _TYPE,
+        "time": _COUNT,
         "user-id": _USER_ID,
-        "country": FieldRule("string", 1, 100),
-        "platform": FieldRule("string", 1, 100),
+        "country": _NAME,
+        "platform": _NAME,
     },
     "match": {
-        "time": _EPOCH_MS,
+        "event-type": _TYPE,
+        "time": _COUNT,
         "user-a": _PLAYER,
         "user-b": _PLAYER,
-        "user-a-postmatch-info": FieldRule("object", members=_POSTMATCH),
-        "user-b-postmatch-info": FieldRule("object", members=_POSTMATCH, required=False),
+        "user-a-postmatch-info": FieldRule(is_object=True),
+        "user-b-postmatch-info": FieldRule(is_object=True, required=False),
         "winner": _PLAYER,
-        "game-tier": FieldRule("integer", 1, 5),
-        "duration": FieldRule("integer", 0),
+        "game-tier": FieldRule(integer=(1, 5)),
+        "duration": _COUNT,
     },
     "in-app-purchase": {
-        "time": _EPOCH_MS,
-        "purchase_value": FieldRule("number", 0),
+        "event-type": _TYPE,
+        "time": _COUNT,
+        "purchase_value": FieldRule(integer=(0, inf), fraction=(0, inf)),
         "user-id": _USER_ID,
-        "product-id": FieldRule("string", 1, 100),
+        "product-id": _NAME,
     },
 }
+POSTMATCH_RULES: dict[str, FieldRule] = {
+    "coin-balance-after-match": _COUNT,
+    "level-after-match": _COUNT,
+    "device": FieldRule(text=(1, 200)),
+    "platform": FieldRule(text=(1, 10)),
+}
+POSTMATCH_OBJECTS = ("user-a-postmatch-info", "user-b-postmatch-info")
 
 
-def _path(*keys: str) -> str:
-    return "$" + "".join(f"['{key}']" for key in keys)
+_RULE_DDL = (
+    "struct<text: array<double>, integer: array<double>, fraction: array<double>, "
+    "is_object: boolean>"
+)
 
 
-def _get(doc: Column, path: str, as_type: str) -> Column:
-    return F.try_variant_get(doc, path, as_type)
+def _literal(value, ddl: str) -> Column:
+    """A nested constant; Spark folds the parse into a literal."""
+    return F.from_json(F.lit(json.dumps(value)), ddl)
 
 
-def _json_type(doc: Column, path: str) -> Column:
-    """Type name of the value at ``path``; null when absent, ``VOID`` for JSON null."""
-    return F.schema_of_variant(_get(doc, path, "variant"))
+def _rules_of(rules: dict[str, FieldRule]) -> dict[str, dict]:
+    return {name: asdict(rule) for name, rule in rules.items()}
 
 
-def _between(value: Column, low: int, high: int | None) -> Column:
-    return value >= low if high is None else value.between(low, high)
+def _required_of(rules: dict[str, FieldRule]) -> list[str]:
+    return [name for name, rule in rules.items() if rule.required]
 
 
-def _value_ok(doc: Column, path: str, rule: FieldRule) -> Column:
-    """Whether the value present at ``path`` satisfies the rule."""
-    json_type = _json_type(doc, path)
-    text_ok = (json_type == "STRING") & _between(
-        F.length(_get(doc, path, "string")), rule.low, rule.high
-    )
+def _value_ok(member: Column) -> Column:
+    """Whether a member with its rule and JSON type satisfies the rule."""
+    value, json_type, rule = member["value"], member["json_type"], member["rule"]
+    number = F.try_variant_get(value, "$", "double")
+    length = F.length(F.try_variant_get(value, "$", "string"))
     # Integers beyond 64 bits parse to a decimal of 19 or more digits.
     is_integer = (json_type == "BIGINT") | json_type.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
-    number = _get(doc, path, "double")
-    if rule.kind == "string":
-        return text_ok
-    if rule.kind == "integer":
-        return is_integer & _between(number, rule.low, rule.high)
-    if rule.kind == "number":
-        is_number = is_integer | json_type.rlike("^(DECIMAL|DOUBLE|FLOAT)")
-        return is_number & _between(number, rule.low, rule.high)
-    if rule.kind == "string_or_integer":
-        return text_ok | (is_integer & (number >= 0))
-    return json_type.startswith("OBJECT")
-
-
-def _unknown_keys(doc: Column, prefix: tuple[str, ...], allowed: list[str]) -> Column:
-    """Violation naming the level that holds keys outside ``allowed``."""
-    keys = F.map_keys(_get(doc, _path(*prefix), "map<string,variant>"))
-    known = F.array(*map(F.lit, allowed))
-    label = ".".join((*prefix, "*"))
-    return F.when(F.size(F.array_except(keys, known)) > 0, F.lit(f"{label}: unknown key"))
-
-
-def _field_violations(
-    doc: Column, fields: dict[str, FieldRule], prefix: tuple[str, ...] = ()
-) -> list[Column]:
-    found = []
-    for name, rule in fields.items():
-        keys = (*prefix, name)
-        path, label = _path(*keys), ".".join(keys)
-        absent = _json_type(doc, path).isNull()
-        ok = _value_ok(doc, path, rule)
-        missing = F.when(absent, F.lit(f"{label}: missing")) if rule.required else None
-        wrong = ~absent & ~F.coalesce(ok, F.lit(False))
-        invalid = F.when(wrong, F.lit(f"{label}: invalid"))
-        found.append(invalid if missing is None else F.coalesce(missing, invalid))
-        if rule.members:
-            inner = _field_violations(doc, rule.members, keys)
-            inner.append(_unknown_keys(doc, keys, list(rule.members)))
-            found += [F.when(ok, violation) for violation in inner]
-    return found
-
-
-def event_type_of(doc: Column) -> Column:
-    """The payload's ``event-type`` when it is a JSON string, else null."""
-    path = _path("event-type")
-    return F.when(_json_type(doc, path) == "STRING", _get(doc, path, "string"))
+    is_fraction = json_type.rlike("^(DECIMAL|DOUBLE|FLOAT)")
+
+    def within(measured: Column, bounds: Column) -> Column:
+        return measured.between(bounds[0], bounds[1])
 
+    return F.coalesce(
+        F.when(json_type == "STRING", within(length, rule["text"]))
+        .when(is_integer, within(number, rule["integer"]))
+        .when(is_fraction, within(number, rule["fraction"]))
+        .when(json_type.startswith("OBJECT"), rule["is_object"]),
+        F.lit(False),
+    )
 
-def violations(doc: Column, event_type: Column) -> Column:
-    """All rule violations of a parsed payload; an empty array means valid.
 
-    ``doc`` is the variant of the payload, null when the text is not JSON.
-    """
-    is_object = F.coalesce(_json_type(doc, "$").startswith("OBJECT"), F.lit(False))
-    result = F.when(~is_object, F.array(F.lit("payload: not a JSON object")))
-    for name, fields in PAYLOAD_RULES.items():
-        checks = _field_violations(doc, fields)
-        checks.append(_unknown_keys(doc, (), ["event-type", *fields]))
-        result = result.when(event_type == name, F.array_compact(F.array(*checks)))
-    return result.otherwise(F.array(F.lit("event-type: missing or unknown")))
+def _level_violations(
+    members: Column, rules: Column, required: Column, prefix: str = ""
+) -> Column:
+    """Violations of one object level, given as ``map<string,variant>``."""
+    described = F.transform(
+        F.map_entries(members),
+        lambda entry: F.struct(
+            entry["key"].alias("key"),
+            entry["value"].alias("value"),
+            F.schema_of_variant(entry["value"]).alias("json_type"),
+            F.try_element_at(rules, entry["key"]).alias("rule"),
+        ),
+    )
+    verdicts = F.transform(
+        described,
+        lambda member: F.when(
+            member["rule"].isNull(), F.concat(F.lit(prefix), member["key"], F.lit(": unknown"))
+        ).when(
+            ~_value_ok(member), F.concat(F.lit(prefix), member["key"], F.lit(": invalid"))
+        ),
+    )
+    missing = F.transform(
+        F.array_except(required, F.map_keys(members)),
+        lambda name: F.concat(F.lit(prefix), name, F.lit(": missing")),
+    )
+    return F.concat(F.array_compact(verdicts), missing)
+
+
+def payload_members(doc: Column) -> Column:
+    """Top-level members of a payload; null unless it is a JSON object."""
+    return F.try_variant_get(doc, "$", "map<string,variant>")
+
+
+def event_type_of(members: Column) -> Column:
+    """The payload's ``event-type`` when it is a JSON string, else null."""
+    value = F.try_element_at(members, F.lit("event-type"))
+    return F.when(
+        F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")
+    )
+
+
+def violations(members: Column, event_type: Column) -> Column:
+    """All rule violations of a payload; an empty array means valid."""
+    rules = {kind: _rules_of(fields) for kind, fields in PAYLOAD_RULES.items()}
+    required = {kind: _required_of(fields) for kind, fields in PAYLOAD_RULES.items()}
+    found = _level_violations(
+        members,
+        F.try_element_at(_literal(rules, f"map<string,map<string,{_RULE_DDL}>>"), event_type),
+        F.try_element_at(_literal(required, "map<string,array<string>>"), event_type),
+    )
+    inner = [
+        F.coalesce(
+            _level_violations(
+                F.try_variant_get(
+                    F.try_element_at(members, F.lit(key)), "$", "map<string,variant>"
+                ),
+                _literal(_rules_of(POSTMATCH_RULES), f"map<string,{_RULE_DDL}>"),
+                _literal(_required_of(POSTMATCH_RULES), "array<string>"),
+                f"{key}.",
+            ),
+            F.array().cast("array<string>"),
+        )
+        for key in POSTMATCH_OBJECTS
+    ]
+    return (
+        F.when(members.isNull(), F.array(F.lit("payload: not a JSON object")))
+        .when(event_type == "match", F.concat(found, *inner))
+        .when(event_type.isin(list(PAYLOAD_RULES)), found)
+        .otherwise(F.array(F.lit("event-type: missing or unknown")))
+    )

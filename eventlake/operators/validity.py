@@ -2,24 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from eventlake.functions.rules import map_values
-from eventlake.functions.validation import event_type_of, violations
+from eventlake.functions.validation import event_type_of, payload_members, violations
 from eventlake.sources.kafka import TOPIC_OF_EVENT_TYPE
 
 
 def validate_events(df: DataFrame, payload: str = "event_json") -> DataFrame:
-    """Add ``event_type``, ``violations`` and ``is_valid`` for every payload."""
+    """Add ``event_type``, ``violations`` and ``is_valid`` for every payload.
+
+    The generator step keeps the optimizer from copying the parse into every place that
+    uses the members, such as a filter on ``is_valid``.
+    """
+    members = F.col("_members")
+    event_type = event_type_of(members)
     return (
-        df.withColumn("_doc", F.try_parse_json(F.col(payload)))
-        .withColumn("event_type", event_type_of(F.col("_doc")))
-        .withColumn("violations", violations(F.col("_doc"), F.col("event_type")))
+        df.select("*", _once(payload_members(F.try_parse_json(F.col(payload)))).alias("_members"))
+        .select(
+            *df.columns,
+            event_type.alias("event_type"),
+            violations(members, event_type).alias("violations"),
+        )
         .withColumn("is_valid", F.size("violations") == 0)
-        .drop("_doc")
     )
 
 
+def _once(expression: Column) -> Column:
+    """One row in, one row out, but evaluated at this point of the plan."""
+    return F.explode(F.array(expression))
+
+
 def valid_events(df: DataFrame, payload: str = "event_json") -> DataFrame:
     """Only the valid rows, with their original columns."""
     return validate_events(df, payload).filter("is_valid").select(*df.columns)

@@ -259,12 +259,12 @@ def _simple(name: str, kind: str, low: int, high: int | None = None) -> str:
 
 
 def _keys(allowed: list[str], parent: str | None = None) -> str:
+    """List of violations, one per key outside ``allowed``."""
     source = f"json_keys(event_json, '$.\"{parent}\"')" if parent else "json_keys(event_json)"
     names = ", ".join(f"'{name}'" for name in allowed)
-    label = f"{parent}.*" if parent else "*"
+    label = f"'{parent}.' || key" if parent else "key"
     return (
-        f"CASE WHEN len(list_filter({source}, lambda key: NOT list_contains([{names}], key))) > 0 "
-        f"THEN '{label}: unknown key' END"
+        f"[{label} || ': unknown' FOR key IN {source} IF NOT list_contains([{names}], key)]"
     )
 
 
@@ -273,14 +273,23 @@ def _user_id() -> str:
     return _check("user-id", f"({_ok(path, 'string', 1, 50)} OR {_ok(path, 'integer', 0)})")
 
 
+_POSTMATCH_LIMITS = {
+    "coin-balance-after-match": ("integer", 0, None),
+    "level-after-match": ("integer", 0, None),
+    "device": ("string", 1, 200),
+    "platform": ("string", 1, 10),
+}
+
+
+def _postmatch_keys(side: str) -> str:
+    parent = f"user-{side}-postmatch-info"
+    keys = _keys(list(_POSTMATCH_LIMITS), parent)
+    return f"CASE WHEN json_type(event_json, '$.\"{parent}\"') = 'OBJECT' THEN {keys} ELSE [] END"
+
+
 def _postmatch(side: str) -> list[str]:
     parent = f"user-{side}-postmatch-info"
-    limits = {
-        "coin-balance-after-match": ("integer", 0, None),
-        "level-after-match": ("integer", 0, None),
-        "device": ("string", 1, 200),
-        "platform": ("string", 1, 10),
-    }
+    limits = _POSTMATCH_LIMITS
     is_object = f"json_type(event_json, '$.\"{parent}\"') = 'OBJECT'"
     return [
         _check(parent, is_object, required=side == "a"),
@@ -288,7 +297,6 @@ def _postmatch(side: str) -> list[str]:
             _check(name, _ok(f'$."{parent}"."{name}"', *limit), parent=parent)
             for name, limit in limits.items()
         ),
-        f"CASE WHEN {is_object} THEN {_keys(list(limits), parent)} END",
     ]
 
 
@@ -300,7 +308,6 @@ def _violations() -> str:
             _user_id(),
             _simple("country", "string", 1, 100),
             _simple("platform", "string", 1, 100),
-            _keys(["event-type", "time", "user-id", "country", "platform"]),
         ],
         "match": [
             time,
@@ -311,19 +318,24 @@ def _violations() -> str:
             _simple("winner", "string", 1, 50),
             _simple("game-tier", "integer", 1, 5),
             _simple("duration", "integer", 0),
-            _keys(["event-type", *(name for name in _GAME if name != "event-type")]),
         ],
         "in-app-purchase": [
             time,
             _simple("purchase_value", "number", 0),
             _user_id(),
             _simple("product-id", "string", 1, 100),
-            _keys(list(_PURCHASE)),
         ],
     }
+    unknown = {
+        "init": _keys(list(_INIT)),
+        "match": "list_concat("
+        + ", ".join([_keys(list(_GAME)), *(_postmatch_keys(side) for side in "ab")])
+        + ")",
+        "in-app-purchase": _keys(list(_PURCHASE)),
+    }
     branches = " ".join(
-        f"WHEN kind = '{kind}' THEN array_to_string(list_sort(list_filter("
-        f"[{', '.join(items)}], lambda item: item IS NOT NULL)), '; ')"
+        f"WHEN kind = '{kind}' THEN array_to_string(list_sort(list_concat({unknown[kind]}, "
+        f"[item FOR item IN [{', '.join(items)}] IF item IS NOT NULL])), '; ')"
         for kind, items in checks.items()
     )
     return (

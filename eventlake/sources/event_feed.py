@@ -37,14 +37,13 @@ def _user(number: Column) -> Column:
     return F.concat(F.lit("user_"), F.lpad(number.cast("string"), 6, "0"))
 
 
-def _text(value: Column) -> Column:
-    return F.concat(F.lit('"'), value, F.lit('"'))
+def _object(*members: tuple[str, Column]) -> Column:
+    return F.struct(*(value.alias(key) for key, value in members))
 
 
-def _object(*pairs: tuple[str, Column]) -> Column:
-    """JSON object text from (key, JSON value text) pairs; null values drop their key."""
-    members = [F.concat(F.lit(f'"{key}":'), value.cast("string")) for key, value in pairs]
-    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+def _json(*members: tuple[str, Column]) -> Column:
+    """JSON text with the members in the given order; null values drop their key."""
+    return F.to_json(_object(*members))
 
 
 def kafka_rows(events: DataFrame, with_invalid: bool = False) -> DataFrame:
@@ -59,46 +58,43 @@ def kafka_rows(events: DataFrame, with_invalid: bool = False) -> DataFrame:
     fault = event_id % 97 if with_invalid else F.lit(0)
 
     time = F.when(fault == 1, F.lit(-1)).otherwise(F.unix_millis(ts))
-    country = _text(_pick(COUNTRY_CYCLE, user % 11))
-    platform = _text(_pick(PLATFORM_CYCLE, event_id % 3))
+    country = _pick(COUNTRY_CYCLE, user % 11)
+    platform = _pick(PLATFORM_CYCLE, event_id % 3)
     extra = ("extra", F.when(fault == 2, F.lit(1)))
     user_a, user_b = _user(user), _user(user + 1 + k)
 
     postmatch = [
         ("coin-balance-after-match", k * 100),
         ("level-after-match", k + 1),
-        ("device", _text(_pick(DEVICE_CYCLE, k % 3))),
-        ("platform", _text(_pick(PLATFORM_CYCLE, (event_id + k) % 3))),
+        ("device", _pick(DEVICE_CYCLE, k % 3)),
+        ("platform", _pick(PLATFORM_CYCLE, (event_id + k) % 3)),
     ]
-    init = _object(
-        ("event-type", F.lit('"init"')),
+    init = _json(
+        ("event-type", F.lit("init")),
         ("time", time),
-        ("user-id", _text(_user(user))),
+        ("user-id", _user(user)),
         ("country", F.when(fault != 4, country)),
         ("platform", platform),
         extra,
     )
-    match = _object(
-        ("event-type", F.lit('"match"')),
+    match = _json(
+        ("event-type", F.lit("match")),
         ("time", time),
-        ("user-a", _text(user_a)),
-        ("user-b", _text(user_b)),
+        ("user-a", user_a),
+        ("user-b", user_b),
         ("user-a-postmatch-info", _object(*postmatch)),
         ("user-b-postmatch-info", F.when(event_id % 7 != 0, _object(*postmatch))),
-        ("winner", _text(F.when(event_id % 2 == 0, user_a).otherwise(user_b))),
+        ("winner", F.when(event_id % 2 == 0, user_a).otherwise(user_b)),
         ("game-tier", F.when(fault == 3, F.lit(9)).otherwise(k % 5 + 1)),
         ("duration", 30 + k * 5),
         extra,
     )
-    purchase = _object(
-        ("event-type", F.lit('"in-app-purchase"')),
+    purchase = _json(
+        ("event-type", F.lit("in-app-purchase")),
         ("time", time),
         ("purchase_value", F.col("value")),
-        ("user-id", _text(_user(user))),
-        (
-            "product-id",
-            _text(F.concat(F.lit("PROD"), F.lpad((k % 12 + 1).cast("string"), 3, "0"))),
-        ),
+        ("user-id", _user(user)),
+        ("product-id", F.concat(F.lit("PROD"), F.lpad((k % 12 + 1).cast("string"), 3, "0"))),
         extra,
     )
     payload = (
