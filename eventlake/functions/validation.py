@@ -1,12 +1,18 @@
 """Payload validation as column expressions over a parsed variant.
 
-The constraints are data: a literal map of field rules by event type. The payload's
-members are looked up in it, so the expression stays small however many fields exist.
+The constraints are data: field rules by event type. They serve two expressions:
+
+* ``conforms`` is the cheap test nearly all payloads pass. The variant's schema text
+  names every key and kind at every level, so one pattern per type checks the shape,
+  and only bounds are left to compare.
+* ``violations`` explains the rest. It looks each member up in a literal map of rules,
+  so the expression stays small however many fields exist.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import asdict, dataclass
 from sys import float_info
 
@@ -141,21 +147,93 @@ def _level_violations(
     return F.concat(F.array_compact(verdicts), missing)
 
 
+_INTEGER = r"(?:BIGINT|DECIMAL\((?:19|[23]\d),0\))"
+_FRACTION = r"(?:DECIMAL\(\d+,\d+\)|DOUBLE|FLOAT)"
+
+
+def _kind_pattern(rule: FieldRule, inner: str) -> str:
+    kinds = [
+        pattern
+        for pattern, accepted in (
+            ("STRING", rule.text),
+            (_INTEGER, rule.integer),
+            (_FRACTION, rule.fraction),
+            (inner, rule.is_object),
+        )
+        if accepted
+    ]
+    return "(?:" + "|".join(kinds) + ")"
+
+
+def _shape_pattern(rules: dict[str, FieldRule], inner: str = "") -> str:
+    """Pattern of the schema text of an object that has the right keys and kinds.
+
+    Keys are sorted in that text. Optional keys must not come last.
+    """
+    members = []
+    for name in sorted(rules):
+        key = f"`{name}`" if "-" in name else name
+        member = f"{re.escape(key)}: {_kind_pattern(rules[name], inner)}"
+        members.append(member if rules[name].required else f"(?:{member}, )?")
+    text = ""
+    for member in members:
+        joint = "" if not text or text.endswith(")?") else ", "
+        text += joint + member
+    return f"OBJECT<{text}>"
+
+
+def _bounds(doc: Column, rules: dict[str, FieldRule], parents: tuple[str, ...] = ()) -> Column:
+    """Bounds of fields whose shape is known to be right; absent optional ones pass."""
+    result = F.lit(True)
+    for name, rule in rules.items():
+        path = "$" + "".join(f"['{key}']" for key in (*parents, name))
+        number = F.try_variant_get(doc, path, "double")
+        length = F.length(F.try_variant_get(doc, path, "string"))
+        tests = []
+        if rule.text:
+            tests.append(length.between(*rule.text))
+        if rule.integer or rule.fraction:
+            tests.append(number.between(*(rule.integer or rule.fraction)))
+        if len(tests) == 2:
+            # Text that is not a number has no numeric bounds to meet, and vice versa.
+            is_text = F.schema_of_variant(F.try_variant_get(doc, path, "variant")) == "STRING"
+            result &= F.when(is_text, tests[0]).otherwise(tests[1])
+        elif tests:
+            result &= F.coalesce(tests[0], F.lit(True))
+    return result
+
+
+def conforms(doc: Column, shape: Column, event_type: Column) -> Column:
+    """Whether a payload is valid; ``shape`` is the schema text of ``doc``."""
+    inner = _shape_pattern(POSTMATCH_RULES)
+    result = F.when(F.lit(False), F.lit(False))
+    for kind, rules in PAYLOAD_RULES.items():
+        ok = shape.rlike(f"^{_shape_pattern(rules, inner)}$") & _bounds(doc, rules)
+        for key in POSTMATCH_OBJECTS:
+            if key in rules:
+                ok &= _bounds(doc, POSTMATCH_RULES, (key,))
+        result = result.when(event_type == kind, ok)
+    return F.coalesce(result, F.lit(False))
+
+
 def payload_members(doc: Column) -> Column:
     """Top-level members of a payload; null unless it is a JSON object."""
     return F.try_variant_get(doc, "$", "map<string,variant>")
 
 
-def event_type_of(members: Column) -> Column:
+def event_type_of(doc: Column) -> Column:
     """The payload's ``event-type`` when it is a JSON string, else null."""
-    value = F.try_element_at(members, F.lit("event-type"))
-    return F.when(
-        F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")
-    )
+    path = "$['event-type']"
+    kind = F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
+    return F.when(kind == "STRING", F.try_variant_get(doc, path, "string"))
 
 
-def violations(members: Column, event_type: Column) -> Column:
-    """All rule violations of a payload; an empty array means valid."""
+def violations(doc: Column, event_type: Column) -> Column:
+    """All rule violations of a payload; an empty array means valid.
+
+    ``doc`` is the variant of the payload, null when the text is not JSON.
+    """
+    members = payload_members(doc)
     rules = {kind: _rules_of(fields) for kind, fields in PAYLOAD_RULES.items()}
     required = {kind: _required_of(fields) for kind, fields in PAYLOAD_RULES.items()}
     found = _level_violations(

@@ -5,26 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from eventlake.functions.rules import map_values
-from eventlake.functions.validation import event_type_of, payload_members, violations
+from eventlake.functions.validation import conforms, event_type_of, violations
 from eventlake.sources.kafka import TOPIC_OF_EVENT_TYPE
 
 
 def validate_events(df: DataFrame, payload: str = "event_json") -> DataFrame:
     """Add ``event_type``, ``violations`` and ``is_valid`` for every payload.
 
-    The generator step keeps the optimizer from copying the parse into every place that
-    uses the members, such as a filter on ``is_valid``.
+    Each payload is parsed once: the generator steps keep the optimizer from copying
+    the parse into every place that uses it, such as a filter on ``is_valid``.
     """
-    members = F.col("_members")
-    event_type = event_type_of(members)
+    doc = F.col("_doc")
+    kinds = F.struct(
+        event_type_of(doc).alias("event_type"), F.schema_of_variant(doc).alias("shape")
+    )
+    is_valid = conforms(doc, F.col("_kinds.shape"), F.col("_kinds.event_type"))
+    found = F.when(F.col("is_valid"), F.array().cast("array<string>")).otherwise(
+        violations(doc, F.col("_kinds.event_type"))
+    )
     return (
-        df.select("*", _once(payload_members(F.try_parse_json(F.col(payload)))).alias("_members"))
+        df.select("*", _once(F.try_parse_json(F.col(payload))).alias("_doc"))
+        .select("*", kinds.alias("_kinds"))
+        .select("*", _once(is_valid).alias("is_valid"))
         .select(
             *df.columns,
-            event_type.alias("event_type"),
-            violations(members, event_type).alias("violations"),
+            F.col("_kinds.event_type").alias("event_type"),
+            found.alias("violations"),
+            "is_valid",
         )
-        .withColumn("is_valid", F.size("violations") == 0)
     )
 
 
