@@ -6,6 +6,7 @@ import logging
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +37,7 @@ def try_read_table(
         return read_table(spark, path, fmt)
     except AnalysisException as error:
         log.warning("table not found at %s: %s", path, error)
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         log.warning("cannot read table at %s: %s", path, error)
     return None
 

@@ -1,0 +1,47 @@
+from __future__ import annotations
+
+import pytest
+
+from eventlake.plans import medallion, reports
+from eventlake.sources.event_feed import kafka_rows, read_events
+from eventlake.sources.tables import scratch_dir
+
+
+def test_selection():
+    assert reports.select_tables() == list(reports.REPORTS) and len(reports.REPORTS) == 9
+    chosen = ["silver-init", "bronze"]
+    assert reports.select_tables(chosen) == chosen
+    with pytest.raises(ValueError):
+        reports.select_tables(["gold"])
+
+
+def test_reports_over_written_tables(spark, sf_dir, capsys):
+    root = scratch_dir(spark, "reports")
+    paths = {name: f"{root}/{name}" for name in reports.REPORTS}
+    layers = medallion.layers(kafka_rows(read_events(spark, sf_dir)))
+    for name in ("bronze", "silver-init", "gold-minute-purchases-by-country"):
+        layers[name].write.parquet(paths[name])
+    found = reports.report(spark, paths)
+    assert list(found) == ["bronze", "silver-init", "gold-minute-purchases-by-country"]
+    assert list(found["silver-init"]) == [
+        "total records",
+        "events by platform",
+        "events by country",
+        "sample",
+    ]
+    [total] = found["bronze"]["total records"].collect()
+    assert total["rows"] == layers["bronze"].count()
+    assert found["silver-init"]["sample"].count() == 10
+    reports.show({"bronze": found["bronze"]})
+    assert "kafka_topic" in capsys.readouterr().out
+
+
+def test_empty_revenue_is_zero(spark):
+    empty = spark.createDataFrame([], "purchase_value double")
+    assert reports.total_revenue(empty).first()[0] == 0.0
+
+
+def test_ties_are_ordered_by_name(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "name string")
+    rows = reports.top_by_count(df, "name", 2).collect()
+    assert [(row["name"], row["count"]) for row in rows] == [("c", 2), ("a", 1)]
