@@ -21,7 +21,7 @@ from eventlake.plans.event_types import default_event_types
 from eventlake.schemas import PROCESSING_TIME_COLUMNS
 from eventlake.sources.event_feed import kafka_rows, read_events, stream_events
 from eventlake.sources.tables import read_table, scratch_dir
-from eventlake.streaming.pipelines import (
+from eventlake.streaming.jobs import (
     Lake,
     run_bronze,
     run_gold,
@@ -78,8 +78,14 @@ def _bronze(spark: SparkSession, sf_dir: str, with_invalid: bool = False) -> Dat
     return bronze.to_bronze(_kafka(spark, sf_dir, with_invalid))
 
 
+def _silvers(spark: SparkSession, sf_dir: str, *tables: str) -> list[DataFrame]:
+    """Silver tables over the same parsed rows."""
+    parsed, kinds = silver.parse_events(_bronze(spark, sf_dir)), default_event_types()
+    return [silver.clean(parsed, kinds[table]) for table in tables]
+
+
 def _silver(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return silver.to_silver(_bronze(spark, sf_dir), default_event_types()[table])
+    return _silvers(spark, sf_dir, table)[0]
 
 
 def _parsed(spark: SparkSession, sf_dir: str, event_filter: str) -> DataFrame:
@@ -315,8 +321,7 @@ _ENRICHED = {
 
 
 def _enriched(spark, sf_dir, table: str, user: str, function) -> DataFrame:
-    events, inits = _silver(spark, sf_dir, table), _silver(spark, sf_dir, "init")
-    rows = function(events, inits, user)
+    rows = function(*_silvers(spark, sf_dir, table, "init"), user)
     return comparable(rows.select(*_ENRICHED[table], "event_timestamp", "country_name"))
 
 
@@ -341,26 +346,16 @@ def _matches(spark, sf_dir, window: str) -> DataFrame:
 
 
 def _purchases_by_country(spark, sf_dir, window: str, slide: str | None = None) -> DataFrame:
-    gold = minute.minute_purchases_by_country(
-        _silver(spark, sf_dir, "purchase"),
-        _silver(spark, sf_dir, "init"),
-        window,
-        slide,
-        exact=True,
-    )
+    purchases, inits = _silvers(spark, sf_dir, "purchase", "init")
+    gold = minute.minute_purchases_by_country(purchases, inits, window, slide, exact=True)
     return comparable(rounded(gold, "country_revenue"))
 
 
 def _matches_by_country(
     spark, sf_dir, window: str, sides: Sequence[str] = ("user-a",)
 ) -> DataFrame:
-    gold = minute.minute_matches_by_country(
-        _silver(spark, sf_dir, "match"),
-        _silver(spark, sf_dir, "init"),
-        window,
-        sides,
-        exact=True,
-    )
+    matches, inits = _silvers(spark, sf_dir, "match", "init")
+    gold = minute.minute_matches_by_country(matches, inits, window, sides, exact=True)
     return comparable(gold)
 
 

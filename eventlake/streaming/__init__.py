@@ -1 +1 @@
-"""Streaming sinks, the three pipelines, supervision and progress metrics."""
+"""Streaming sinks, the three jobs, supervision and progress metrics."""

@@ -11,7 +11,7 @@ from eventlake.operators.bronze import to_bronze_legacy, with_constant
 from eventlake.plans.event_types import default_event_types
 from eventlake.sources.event_feed import kafka_rows, read_events, stream_events
 from eventlake.sources.tables import read_table, read_table_stream, scratch_dir
-from eventlake.streaming import pipelines, sinks, supervise
+from eventlake.streaming import jobs, sinks, supervise
 from eventlake.streaming.progress import ProgressLog, recent_progress
 from eventlake.streaming.sinks import AVAILABLE_NOW
 
@@ -35,7 +35,7 @@ def add(spark, path, seconds, users=("u",)):
 
 @pytest.fixture
 def lake(spark):
-    return pipelines.Lake(scratch_dir(spark, "lake"))
+    return jobs.Lake(scratch_dir(spark, "lake"))
 
 
 def test_late_rows_are_dropped_and_counted(spark, lake):
@@ -71,7 +71,7 @@ def test_result_does_not_depend_on_the_split(spark, seed):
     cuts = sorted(rng.sample(range(1, 50), 2))
     results = []
     for bounds in ([], cuts):
-        lake = pipelines.Lake(scratch_dir(spark, "split"))
+        lake = jobs.Lake(scratch_dir(spark, "split"))
         edges = [0, *[c * 3600 for c in bounds], 50 * 3600]
         for low, high in zip(edges, edges[1:]):
             add(spark, lake.table("silver-purchase"), [s for s in seconds if low <= s < high], "ab")
@@ -106,10 +106,10 @@ def test_stream_equals_batch_for_closed_windows(spark, lake):
 
 
 def test_pipeline_and_fan_out_agree(spark, sf_dir, lake):
-    bronze = pipelines.run_bronze(kafka_rows(stream_events(spark, sf_dir)), lake, AVAILABLE_NOW)
+    bronze = jobs.run_bronze(kafka_rows(stream_events(spark, sf_dir)), lake, AVAILABLE_NOW)
     supervise.await_all([bronze])
-    supervise.await_all(pipelines.run_silver(spark, lake, AVAILABLE_NOW))
-    other = pipelines.Lake(scratch_dir(spark, "fan-out"))
+    supervise.await_all(jobs.run_silver(spark, lake, AVAILABLE_NOW))
+    other = jobs.Lake(scratch_dir(spark, "fan-out"))
     kinds = default_event_types()
     targets = {other.table(f"silver-{name}"): kind for name, kind in kinds.items()}
     source = read_table_stream(spark, lake.table("bronze"))
@@ -123,7 +123,7 @@ def test_pipeline_and_fan_out_agree(spark, sf_dir, lake):
         drop = ("ingestion_timestamp", "processing_timestamp")
         assert actual.drop(*drop).exceptAll(expected.drop(*drop)).isEmpty()
         assert actual.count() == expected.count()
-    supervise.await_all(pipelines.run_gold(spark, lake, AVAILABLE_NOW, state_partitions=2))
+    supervise.await_all(jobs.run_gold(spark, lake, AVAILABLE_NOW, state_partitions=2))
     for name in ("minute-purchases", "minute-matches", "minute-purchases-by-country"):
         assert read_table(spark, lake.table(f"gold-{name}")).count() > 0
 
@@ -140,7 +140,7 @@ def test_repeated_batch_leaves_no_duplicates(spark, sf_dir, lake):
 
 
 def test_custom_transform_hook(spark, sf_dir, lake):
-    query = pipelines.run_bronze(
+    query = jobs.run_bronze(
         kafka_rows(stream_events(spark, sf_dir)),
         lake,
         AVAILABLE_NOW,
