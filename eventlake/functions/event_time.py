@@ -13,7 +13,7 @@ _MAX_SECOND = 253402300799
 
 def event_second(ms: str = "time") -> Column:
     """Whole epoch seconds, truncated toward zero."""
-    return F.expr(f"`{ms}` div 1000")
+    return F.call_function("div", F.col(ms), F.lit(1000))
 
 
 def event_timestamp(ms: str = "time") -> Column:

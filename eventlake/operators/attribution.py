@@ -169,19 +169,17 @@ def enrich_latest(
     located = _bucketed(inits, "user-id", lookback).filter(
         "_user is not null and _bucket is not null"
     )
-    seen = F.struct(
-        F.col("time"), F.col("country_name"), F.unix_seconds(event_timestamp()).alias("second")
-    )
-    # The next bucket only needs the last init of this one, placed before its start.
+    # The next bucket only needs the last inits of this one, placed before its start.
     candidates = located.select(
         "_user",
+        "country_name",
+        "time",
         F.inline(
             F.array(
-                F.struct(F.col("_bucket"), F.col("_offset"), seen.alias("_init")),
+                F.struct("_bucket", "_offset"),
                 F.struct(
                     (F.col("_bucket") + 1).alias("_bucket"),
                     F.lit(-1).cast("bigint").alias("_offset"),
-                    seen.alias("_init"),
                 ),
             )
         ),
@@ -194,13 +192,14 @@ def enrich_latest(
         .orderBy("_offset")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    init = F.when(~F.col("_is_event"), F.struct("time", "country_name"))
     second = F.col("_bucket") * lookback + F.col("_offset")
     seconds = (
         points.unionByName(candidates, allowMissingColumns=True)
-        .groupBy("_user", "_bucket", "_offset", "_is_event")
-        .agg(F.max("_init").alias("_init"))
-        .withColumn("_init", F.max("_init").over(so_far))
-        .filter(F.col("_is_event") & (F.col("_init.second") >= second - lookback))
+        .groupBy("_user", "_bucket", "_offset", "_is_event", "country_name")
+        .agg(F.max("time").alias("time"))
+        .withColumn("_init", F.max(init).over(so_far))
+        .filter(F.col("_is_event") & (event_second("_init.time") >= second - lookback))
         .select(
             F.col("_user").alias("user"),
             second.alias("second"),
@@ -227,10 +226,10 @@ def _attach(events: DataFrame, seconds: DataFrame, user: str) -> DataFrame:
 
 def heavy_keys(df: DataFrame, column: str, share: float = 0.05) -> list[str]:
     """Values that each hold more than ``share`` of the rows: at most ``1 / share`` of them."""
+    total = df.count()
     counts = df.groupBy(F.col(f"`{column}`").alias("key")).count()
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    heavy = counts.join(F.broadcast(total), F.col("count") > F.col("total") * share)
-    return [row["key"] for row in heavy.select("key").filter("key is not null").collect()]
+    heavy = counts.filter((F.col("count") > total * share) & F.col("key").isNotNull())
+    return [row["key"] for row in heavy.select("key").collect()]
 
 
 def interval_join(
