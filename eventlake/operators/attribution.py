@@ -210,17 +210,25 @@ def enrich_latest(
 
 
 def _attach(events: DataFrame, seconds: DataFrame, user: str) -> DataFrame:
-    """Left join per-(user, second) facts back to the event rows."""
+    """Left join per-(user, second) facts back to the event rows.
+
+    Events without a user match nothing; a hash of the row stands in for their join
+    key, so that they do not all meet in one task.
+    """
+    name = F.col(f"`{user}`")
+    stand_in = F.xxhash64(*(F.col(f"`{column}`") for column in events.columns))
     return (
         events.withColumn("event_timestamp", event_timestamp())
+        .withColumn("_key", F.coalesce(name, stand_in.cast("string")))
         .withColumn("_second", F.unix_seconds("event_timestamp"))
         .join(
             seconds.withColumnsRenamed({"user": "_seen_user", "second": "_seen_second"}),
-            (F.col(f"`{user}`") == F.col("_seen_user"))
-            & (F.col("_second") == F.col("_seen_second")),
+            (F.col("_key") == F.col("_seen_user"))
+            & (F.col("_second") == F.col("_seen_second"))
+            & name.isNotNull(),
             "left",
         )
-        .drop("_second", "_seen_user", "_seen_second")
+        .drop("_key", "_second", "_seen_user", "_seen_second")
     )
 
 
@@ -244,19 +252,20 @@ def interval_join(
     """The stream-stream left outer interval join.
 
     Both sides carry a watermark, so the state store drops inits once no event can
-    reach them and emits unmatched events. Events of ``hot_users`` spread over
-    ``salts`` state partitions and their inits are kept once per salt; other users
-    are stored once.
+    reach them and emits unmatched events. Events of ``hot_users``, and those without
+    a user, spread over ``salts`` state partitions. Inits of hot users are kept once
+    per salt, those of other users once.
     """
     is_hot = F.lit(False)
     if hot_users:
         is_hot = F.coalesce(F.col(f"`{user}`").isin(list(hot_users)), F.lit(False))
+    is_spread = is_hot | F.col(f"`{user}`").isNull()
     left = (
         events.withColumn("event_timestamp", event_timestamp())
         .withWatermark("event_timestamp", delay)
         .withColumn(
             "_salt",
-            F.when(is_hot, F.pmod(F.xxhash64("time", *_stable_columns(events)), F.lit(salts)))
+            F.when(is_spread, F.pmod(F.xxhash64("time", *_stable_columns(events)), F.lit(salts)))
             .otherwise(0)
             .cast("int"),
         )

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan
 from eventlake.operators.attribution import (
@@ -125,6 +126,20 @@ def test_a_hot_user_collapses_before_the_window(spark):
     assert (gold["purchase_count"], gold["distinct_users"]) == (150_000, 1)
 
 
+def test_events_without_a_user_spread_over_tasks(spark):
+    left = events(spark, [(None, NOON + i, i) for i in range(200)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = enrich(left, inits(spark, [("u", NOON, "US")]))
+        tasks = df.select(F.spark_partition_id().alias("task")).distinct().count()
+        assert countries(df) == {(float(i), None): 1 for i in range(200)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert tasks > 1
+
+
 def test_batch_plan_forms_no_pairs(spark):
     left = events(spark, [("u", NOON, 1)])
     text = plan(minute_purchases_by_country(left, inits(spark, [("u", NOON, "US")])))
