@@ -32,16 +32,13 @@ def fingerprint(text: bytes, words: int = WORDS) -> bytes:
     found = text.lower().split()
     if not found:
         return bytes(8)
-    line = b" ".join(found)
-    ends = np.cumsum([len(x) + 1 for x in found]) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
     shingles = max(1, len(found) - words + 1)
-    starts, ends = starts[:shingles].tolist(), ends[-shingles:].tolist()
     ones = np.zeros(64, np.int64)
-    digest = xxhash.xxh64_digest
+    digest, join = xxhash.xxh64_digest, b" ".join
     for i in range(0, shingles, _CHUNK):
-        cut = zip(starts[i : i + _CHUNK], ends[i : i + _CHUNK])
-        hashes = np.frombuffer(b"".join([digest(line[s:e], SEED) for s, e in cut]), np.uint8)
+        part = found[i : i + _CHUNK + words - 1]
+        lines = map(join, zip(*(part[k:] for k in range(words)))) if len(part) >= words else [join(part)]
+        hashes = np.frombuffer(b"".join([digest(line, SEED) for line in lines]), np.uint8)
         ones += np.unpackbits(hashes.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return np.packbits(2 * ones > shingles).tobytes()
 
