@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import simhash
+from eventlake.llm import inner_products, mih, simhash
 from eventlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,9 +17,40 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op1_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest neighbours of every hundredth row of ``embeddings``."""
+    return mih.mih_search(read(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+def op2_norm_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five highest integer inner products of every fiftieth row of ``embeddings``."""
+    return inner_products.norm_topk(read(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 QUERIES: dict[str, Query] = {
+    "op2_norm_topk": op2_norm_topk,
+    "op1_mih": op1_mih,
     "op8_simhash": op8_simhash,
 }
 
 #: SQL for the queries it can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_norm_topk": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id
+            WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id
+            )::INTEGER AS rank
+            FROM scores
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
