@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import inner_products, mih, simhash
+from eventlake.llm import inner_products, mih, mixing, simhash
 from eventlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +27,13 @@ def op2_norm_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inner_products.norm_topk(read(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each of the ``documents``."""
+    return mixing.mixture(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op6_mix": op6_mix,
     "op2_norm_topk": op2_norm_topk,
     "op1_mih": op1_mih,
     "op8_simhash": op8_simhash,
@@ -35,6 +41,41 @@ QUERIES: dict[str, Query] = {
 
 #: SQL for the queries it can express.
 ORACLE: dict[str, str] = {
+    "op6_mix": r"""
+        WITH sized AS (
+            SELECT doc_id, source, len(regexp_extract_all(
+                coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+            FROM documents
+        ), sums AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+            FROM sized GROUP BY source
+        ), levels AS (
+            SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER below, 0))::DOUBLE
+                   / (sum(weight) OVER () - coalesce(sum(weight) OVER below, 0))::DOUBLE AS level
+            FROM sums
+            WINDOW below AS (
+                ORDER BY 3 * source_size / weight, source NULLS LAST
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+            )
+        ), targets AS (
+            SELECT source, source_size,
+                   least(3.0::DOUBLE * source_size, weight::DOUBLE * max(level) OVER ()) AS target
+            FROM levels
+        ), line AS (
+            SELECT s.*, t.source_size, t.target,
+                   least(floor(t.target + 0.5)::BIGINT, 3 * t.source_size) AS words,
+                   coalesce(sum(s.size) OVER (
+                       PARTITION BY s.source ORDER BY md5(concat_ws(':', doc_id, size)), doc_id, size
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+                   ), 0) AS start
+            FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+        )
+        SELECT doc_id, source, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE
+            words // source_size * size
+            + greatest(0, least(start + size, words % source_size) - start) END::BIGINT AS taken
+        FROM line
+    """,
     "op2_norm_topk": """
         WITH vectors AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
