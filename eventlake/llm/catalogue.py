@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import inner_products, mih, mixing, simhash
+from eventlake.llm import inner_products, language, mih, mixing, simhash
 from eventlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +32,13 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(read(spark, sf_dir, "documents"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of each of the ``documents``."""
+    return language.predict_languages(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_language": op3_language,
     "op6_mix": op6_mix,
     "op2_norm_topk": op2_norm_topk,
     "op1_mih": op1_mih,
