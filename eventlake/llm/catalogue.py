@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import inner_products, language, mih, mixing, simhash
+from eventlake.llm import inner_products, language, mih, mixing, quality, simhash, urls
 from eventlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +37,19 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(read(spark, sf_dir, "documents"))
 
 
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of each of the ``pages``."""
+    return urls.filter_urls(read(spark, sf_dir, "pages"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each of the ``documents``."""
+    return quality.predict_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op5_quality": op5_quality,
+    "op10_urls": op10_urls,
     "op3_language": op3_language,
     "op6_mix": op6_mix,
     "op2_norm_topk": op2_norm_topk,

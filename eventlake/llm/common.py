@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Text handled at once inside a task; longer single texts are handled alone.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -86,3 +86,22 @@ def sampled_share(rows: int, wanted: int) -> int:
 def hash_slot(*columns: Column) -> Column:
     """A row's place among 65,536 hash values."""
     return F.pmod(F.xxhash64(*columns), F.lit(65536))
+
+
+def sample_texts(rows: DataFrame, wanted: int) -> dict[str, list[bytes]]:
+    """Whole texts of (label, text) by label, about ``wanted`` bytes of each, by hash of the text.
+
+    The sample stays of this size as the table grows, and only it comes to the driver.
+    Nulls, empty texts and single texts above ``wanted`` are never in it.
+    """
+    size = F.octet_length("text")
+    rows = rows.filter(F.col("label").isNotNull() & size.between(1, wanted))
+    totals = rows.groupBy("label").agg(F.sum(size).alias("n")).collect()
+    if not totals:
+        return {}
+    shares = [x for r in totals for x in (F.lit(r["label"]), F.lit(sampled_share(r["n"], wanted)))]
+    taken = hash_slot(F.col("text")) < F.element_at(F.create_map(*shares), F.col("label"))
+    found: dict[str, list[bytes]] = {}
+    for label, text in rows.filter(taken).select("label", "text").collect():
+        found.setdefault(label, []).append(text.encode())
+    return found

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from eventlake.llm.common import hash_slot, map_blocks, remainder, sampled_share
+from eventlake.llm.common import map_blocks, remainder, sample_texts
 from eventlake.llm.grams import ByteModel
 
 #: Bytes of context.
@@ -30,17 +30,9 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", order: int =
     A sample has about ``SAMPLE_BYTES`` of each language, whole texts, at every size of the
     table; only it comes to the driver. Null texts and languages teach nothing.
     """
-    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
-        F.col("lang").isNotNull() & F.octet_length("text").between(1, SAMPLE_BYTES)
-    )
-    totals = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()
-    if not totals:
+    by_lang = sample_texts(docs.select(F.col(lang).alias("label"), F.col(text).alias("text")), SAMPLE_BYTES)
+    if not by_lang:
         return [], None
-    shares = [x for r in totals for x in (F.lit(r["lang"]), F.lit(sampled_share(r["n"], SAMPLE_BYTES)))]
-    taken = hash_slot(F.col("text")) < F.element_at(F.create_map(*shares), F.col("lang"))
-    by_lang: dict[str, list[bytes]] = {}
-    for name, found in rows.filter(taken).select("lang", "text").collect():
-        by_lang.setdefault(name, []).append(found.encode())
     languages = sorted(by_lang)
     return languages, ByteModel([by_lang[name] for name in languages], order)
 
