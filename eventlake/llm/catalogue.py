@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import inner_products, language, mih, mixing, quality, simhash, urls
+from eventlake.llm import inner_products, language, mih, mixing, quality, sentencepieces, simhash, token_counts, urls
 from eventlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,7 +47,19 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each of the ``documents``, checked against the original and by decoding."""
+    return sentencepieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens and tokens of each of the ``documents``."""
+    return token_counts.count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
+    "op9_token_counts": op9_token_counts,
+    "op7_sentencepiece": op7_sentencepiece,
     "op5_quality": op5_quality,
     "op10_urls": op10_urls,
     "op3_language": op3_language,
