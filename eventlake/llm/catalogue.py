@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventlake.llm import inner_products, language, mih, mixing, quality, sentencepieces, simhash, token_counts, urls
+from eventlake.llm import inner_products, language, licenses, mih, mixing, quality, sentencepieces, simhash, token_counts, urls
 from eventlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +57,25 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def document_path() -> Column:
+    """Where a document lies in its source: directories by number, licence files at round numbers."""
+    number = F.col("doc_id").cast("string")
+    hundreds, tens = (F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 40))
+    folder = F.when(F.col("doc_id") % 1000 < 40, hundreds).otherwise(F.concat_ws("/", hundreds, tens))
+    name = F.when(F.col("doc_id") % 40 < 20, F.concat(F.lit("LICENSE."), number)).otherwise(number)
+    return F.concat_ws("/", F.coalesce("source", F.lit("")), folder, name)
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of each of the ``documents``, its own or its directory's."""
+    docs = read(spark, sf_dir, "documents")
+    files = docs.select("doc_id", document_path().alias("path"), "text")
+    found = licenses.scan(files)
+    return found.select("doc_id", "path", "licence", "cosine", "inherited_from", F.size("licences").alias("n_own"))
+
+
 QUERIES: dict[str, Query] = {
+    "op4_licenses": op4_licenses,
     "op9_token_counts": op9_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
     "op5_quality": op5_quality,
