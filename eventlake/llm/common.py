@@ -18,13 +18,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def materialised(df: DataFrame) -> DataFrame:
-    """The rows written below ``spark.checkpoint.dir``, cutting the lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder below ``spark.checkpoint.dir`` that this session's executors share.
 
     A folder of this machine stands in only where the setting is absent and Spark runs
     in local mode, as in tests.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -33,6 +32,12 @@ def materialised(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="llm-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder, cutting the lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -52,6 +57,9 @@ def map_blocks(
     ``added`` is the schema text of the new columns. A task holds one Arrow batch of
     rows and works through it in blocks of about ``BLOCK_BYTES`` of text.
     """
+    taken = {name.lower() for name in df.columns} & {part.split()[0].lower() for part in added.split(", ")}
+    if taken:
+        raise ValueError(f"columns already there: {sorted(taken)}")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), added])
     names = [*df.columns, *(part.split()[0] for part in added.split(", "))]
 

@@ -116,6 +116,7 @@ def mix(
     source: str = "source",
     weights: Sequence[int] = WEIGHTS,
     slot_words: int = SLOT_WORDS,
+    shuffle: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The placed documents and the segments that the mix takes of them.
 
@@ -124,22 +125,27 @@ def mix(
     Segments: (slot, number, start, pass, first_word, taken), the words that a slot takes of a
     document; a line is read up to ``REPEATS`` times, so a document is never taken more often.
     Slots are joined to the equal blocks of the line by source and rank. Documents
-    without words hold no segment. The order is that of md5 of key and size, so reruns agree;
-    rows that repeat in both are interchangeable. Null texts have no words, null keys and sources
+    without words hold no segment. The order is that of md5 of the column ``shuffle``, by default
+    the key, and the size, then the key; so reruns agree. Null texts have no words, null keys and sources
     are kept, other columns are ignored. An empty table gives empty results.
     """
     sized = materialised(
-        docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(text).alias("size"))
+        docs.select(
+            F.col(key).alias("key"),
+            F.col(shuffle or key).cast("string").alias("shuffle"),
+            F.col(source).alias("source"),
+            word_count(text).alias("size"),
+        )
     )
     targets = materialised(source_targets(sized, weights))
     # One row per source; a table of very many is left to Spark's own choice of join.
     few = F.broadcast if targets.count() <= BROADCAST_SOURCES else (lambda df: df)
     named = sized.join(few(targets), sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    shuffled = F.md5(F.concat_ws(":", F.col("key").cast("string"), F.col("size").cast("string")))
+    shuffled = F.md5(F.concat_ws(":", "shuffle", F.col("size").cast("string")))
     chunk = F.conv(F.substring("order", 1, int(math.log2(_CHUNKS)) // 4), 16, 10).cast("int")
     named = named.withColumn("order", shuffled).withColumn("chunk", chunk)
     line = _running(named, "number", "chunk", ["order", "key", "size"], F.col("size"), "start")
-    line = materialised(line.drop("order", "chunk"))
+    line = materialised(line.drop("order", "chunk", "shuffle"))
 
     size, whole, start = F.col("size"), F.col("source_size"), F.col("start")
     passes = F.sequence(F.lit(0).cast("long"), F.expr("(words - 1 - start) div source_size"))

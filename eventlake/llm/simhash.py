@@ -125,7 +125,9 @@ def close_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     counts = _counts("fingerprint")
     steps = [s for s in product(range(-radius, radius + 1), repeat=PARTS) if 0 < sum(map(abs, s)) <= radius]
     steps = [s for s in steps if s > (0,) * PARTS]
-    base = prints.select("fingerprint", *(c.alias(f"c{i}") for i, c in enumerate(counts)))
+    # Dealt anew: a row becomes up to 21, and small partitions have been merged before.
+    dealt = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fingerprint")
+    base = dealt.select("fingerprint", *(c.alias(f"c{i}") for i, c in enumerate(counts)))
     home = [F.col(f"c{i}") for i in range(PARTS)]
     visits = [
         F.when(
