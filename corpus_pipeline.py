@@ -44,13 +44,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that with the smallest doc_id, null last.
+    """One document of each group alike in five-word shingles to about 0.8: the smallest doc_id, null last.
 
     Rows are told apart by number, so repeated ids and null ids are documents like any other.
     """
     rows = _numbered(docs)
     key = F.struct(F.isnull(_MARK + "doc_id").alias("none"), F.col(_MARK + "doc_id").alias("id"), "row")
-    groups = simhash.near_duplicates(rows.select(key.alias("key"), F.col(_MARK + "text").alias("text")), "key")
+    groups = simhash.similar_texts(rows.select(key.alias("key"), F.col(_MARK + "text").alias("text")), "key")
     stay = groups.filter(F.col("key") == F.col("component_id")).select(F.col("key.row").alias("row"))
     return rows.join(stay, "row", "left_semi").select(*_unmarked(rows))
 

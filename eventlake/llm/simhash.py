@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from itertools import product
+from math import acos, pi
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,11 @@ SEED = 42
 PARTS = 4
 #: Fingerprints of one tile that a task compares with others at once.
 TILE_ROWS = 4096
+#: The same for wide fingerprints, whose tiles are larger.
+WIDE_TILE_ROWS = 1 << 15
+WIDE_BYTES = 32
+#: Sizes of texts in one tile differ by less than this factor.
+SIZE_STEP = 1.25
 _CHUNK = 1 << 16
 _WIDTH = 64 // PARTS
 
@@ -72,71 +78,132 @@ def _tile(counts: list[Column]) -> Column:
     return number.cast("int")
 
 
-def _pairs_of_tiles(radius: int):
-    """Schema and function over rows (tile, chunk, guest, fingerprint) sorted in this order."""
+class Forest:
+    """Which owners of a tile hang together so far; keeps a link only if it joins two sets."""
 
-    def close(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        step = max(1, (1 << 21) // max(1, len(a)))
-        for i in range(0, len(b), step):
-            x, y = np.nonzero(np.bitwise_count(a[:, None] ^ b[None, i : i + step]) <= radius)
-            if len(x):
-                yield a[x], b[y + i]
+    def __init__(self, owners: int):
+        self.label = np.arange(owners)
+
+    def links(self, close: np.ndarray, own: int | None = None) -> list[int]:
+        """Owners that one row must be linked to, given the owners close to it; ``own`` is the row's place."""
+        labels, first = np.unique(self.label[close], return_index=True)
+        keep = close[first] if own is None else close[first[labels != self.label[own]]]
+        if len(labels) > 1:
+            self.label[np.isin(self.label, labels[1:])] = labels[0]
+        return keep.tolist()
+
+
+def _links_in_tiles(radius: int):
+    """Function over rows (tile, chunk, guest, fingerprint) sorted in this order, owners first.
+
+    A fingerprint is a long, or bytes whose first eight are compared beforehand: they must differ in
+    at most ``_first_radius`` bits. Tasks hold the owners of one tile's chunk and a batch of rows.
+    """
+
+    def distinct(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        near = np.bitwise_count(a[:, None, 0] ^ b[None, :, 0]) <= _first_radius(radius, a.shape[1])
+        if a.shape[1] > 1:
+            x, y = np.nonzero(near)
+            near[x, y] = np.bitwise_count(a[x] ^ b[y]).sum(axis=1) <= radius
+        return near
+
+    def compare(owners: np.ndarray, rows: np.ndarray, forest: Forest, place: int | None) -> list[tuple[int, int]]:
+        found, step = [], max(1, (1 << 21) // max(1, len(owners)))
+        for i in range(0, len(rows), step):
+            near = distinct(owners, rows[i : i + step])
+            for j in np.flatnonzero(near.any(axis=0)).tolist():
+                own = None if place is None else place + i + j
+                found += ((k, i + j) for k in forest.links(np.flatnonzero(near[:, j]), own))
+        return found
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, owners, whole = None, [], None
+        key, owners, forest = None, None, None
         for batch in batches:
-            tile, chunk, guest, prints = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            prints = prints.view(np.uint64)
+            tile, chunk, guest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            column, width = batch.column(3), 1
+            if pa.types.is_integer(column.type):
+                prints = column.to_numpy().view(np.uint64)[:, None]
+            else:
+                parts = column.to_pylist()
+                width = len(parts[0]) // 8 if parts else 1
+                prints = np.frombuffer(b"".join(parts), np.uint64).reshape(-1, width)
             change = (np.diff(tile) != 0) | (np.diff(chunk) != 0) | (np.diff(guest) != 0)
             edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-            found = []
+            links: list[np.ndarray] = []
             for start, end in zip(edges, edges[1:]):
                 if end == start:
                     continue
                 if key != (key := (tile[start], chunk[start])):
-                    owners, whole = [], None
-                rows = prints[start:end]
-                if guest[start]:
-                    if whole is None:
-                        whole = np.concatenate(owners) if owners else prints[:0]
-                    found += close(whole, rows)
+                    owners, forest = prints[:0], Forest(0)
+                rows, place = prints[start:end], None
+                if not guest[start]:
+                    # Owners can come in two batches; earlier ones keep their places.
+                    place = len(owners)
+                    owners = np.concatenate([owners, rows])
+                    forest.label = np.concatenate([forest.label, np.arange(place, len(owners))])
+                links += (np.stack([owners[k], rows[j]]) for k, j in compare(owners, rows, forest, place))
+            if links:
+                both = np.stack(links)
+                ends = [np.ascontiguousarray(both[:, i]) for i in (0, 1)]
+                if pa.types.is_integer(column.type):
+                    made = [pa.array(e[:, 0].view(np.int64)) for e in ends]
                 else:
-                    # Owners can come in two batches: compare with those before and with itself.
-                    for earlier in owners:
-                        found += close(earlier, rows)
-                    found += ((a[a < b], b[a < b]) for a, b in close(rows, rows))
-                    owners.append(rows)
-            if found:
-                u, v = (np.concatenate(x).view(np.int64) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+                    made = [pa.array([row.tobytes() for row in e], pa.binary()) for e in ends]
+                yield pa.RecordBatch.from_arrays(made, names=["u", "v"])
 
     return run
 
 
-def close_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(u, v), all pairs of the distinct values of ``fingerprint`` at most ``radius`` bits apart.
+def _first_radius(radius: int, width: int) -> int:
+    """Bits in which the first of ``width`` words may differ: three deviations above its share."""
+    share = radius / (64 * width)
+    return radius if width == 1 else int(64 * share + 3 * (64 * share * (1 - share)) ** 0.5) + 1
+
+
+def _deal(spread: DataFrame, sizes: DataFrame, kind: str, radius: int) -> DataFrame:
+    """Links of (fingerprint, home, tile) rows, where ``home`` is the fingerprint's own tile.
+
+    ``sizes`` has the chunks of each tile that has owners; its size is bounded. Owners visit
+    the later chunks of their own tile, other fingerprints all chunks of the tile.
+    """
+    own = F.pmod(F.xxhash64("fingerprint"), F.col("chunks")).cast("int")
+    first = F.when(F.col("tile") == F.col("home"), own).otherwise(F.lit(0))
+    work = (
+        spread.join(F.broadcast(sizes), "tile")
+        .withColumn("first", first)
+        .withColumn("chunk", F.explode(F.sequence("first", F.col("chunks") - 1)))
+        .withColumn("guest", ((F.col("tile") != F.col("home")) | (F.col("chunk") != F.col("first"))).cast("int"))
+        .select("tile", "chunk", "guest", "fingerprint")
+    )
+    return (
+        work.repartition("tile", "chunk")
+        .sortWithinPartitions("tile", "chunk", "guest")
+        .mapInArrow(_links_in_tiles(radius), f"u {kind}, v {kind}")
+    )
+
+
+def _dealt(prints: DataFrame) -> DataFrame:
+    """Spread anew: a row becomes many, and small partitions have been merged before."""
+    return prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fingerprint")
+
+
+def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(u, v) of the distinct longs in ``fingerprint``: links that join all at most ``radius`` bits apart.
 
     A tile holds the fingerprints with the same population counts of their four parts.
     Each differing bit changes one count by one, so only tiles whose counts differ by at
     most ``radius`` in all are compared: with at most 40 neighbours, half of which visit,
     each pair of tiles meets once. A large tile is split into chunks; visitors, and the
-    fingerprints of the tile's earlier chunks, come to each. Every pair is compared exactly.
+    fingerprints of the tile's earlier chunks, come to each. Every pair is compared exactly;
+    of the pairs found in a chunk those are returned that connect what was not connected there.
     """
-    counts = _counts("fingerprint")
     steps = [s for s in product(range(-radius, radius + 1), repeat=PARTS) if 0 < sum(map(abs, s)) <= radius]
     steps = [s for s in steps if s > (0,) * PARTS]
-    # Dealt anew: a row becomes up to 21, and small partitions have been merged before.
-    dealt = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fingerprint")
-    base = dealt.select("fingerprint", *(c.alias(f"c{i}") for i, c in enumerate(counts)))
+    counts = [c.alias(f"c{i}") for i, c in enumerate(_counts("fingerprint"))]
+    base = _dealt(prints).select("fingerprint", *counts)
     home = [F.col(f"c{i}") for i in range(PARTS)]
-    visits = [
-        F.when(
-            F.array_min(F.array(*(h + d for h, d in zip(home, s)))).between(0, _WIDTH)
-            & (F.array_max(F.array(*(h + d for h, d in zip(home, s)))) <= _WIDTH),
-            _tile([h + d for h, d in zip(home, s)]),
-        )
-        for s in steps
-    ]
+    moved = [[h + d for h, d in zip(home, s)] for s in steps]
+    visits = [F.when((F.least(*m) >= 0) & (F.greatest(*m) <= _WIDTH), _tile(m)) for m in moved]
     spread = base.select(
         "fingerprint", _tile(home).alias("home"), F.explode(F.array(_tile(home), *visits)).alias("tile")
     ).filter("tile is not null")
@@ -144,30 +211,52 @@ def close_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     sizes = base.groupBy(_tile(home).alias("tile")).agg(
         F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("chunks")
     )
-    own = F.pmod(F.xxhash64("fingerprint"), F.col("chunks")).cast("int")
-    first = F.when(F.col("tile") == F.col("home"), own).otherwise(F.lit(0))
-    work = (
-        spread.join(F.broadcast(sizes), "tile")
-        .withColumn("first", first)
-        .select(
-            "tile",
-            F.explode(F.sequence("first", F.col("chunks") - 1)).alias("chunk"),
-            "first",
-            "home",
-            "fingerprint",
-        )
-        .select(
-            "tile",
-            "chunk",
-            ((F.col("tile") != F.col("home")) | (F.col("chunk") != F.col("first"))).cast("int").alias("guest"),
-            "fingerprint",
-        )
-    )
-    return (
-        work.repartition("tile", "chunk")
-        .sortWithinPartitions("tile", "chunk", "guest")
-        .mapInArrow(_pairs_of_tiles(radius), "u bigint, v bigint")
+    return _deal(spread, sizes, "bigint", radius)
+
+
+def wide_fingerprint(text: bytes, words: int) -> tuple[bytes, int]:
+    """A fingerprint of ``WIDE_BYTES`` over distinct shingles, and the number of words."""
+    found = text.lower().split()
+    if not found:
+        return bytes(WIDE_BYTES), 0
+    ones, total = np.zeros(8 * WIDE_BYTES, np.int64), 0
+    digest, join = xxhash.xxh3_128_digest, b" ".join
+    for i in range(0, max(1, len(found) - words + 1), _CHUNK):
+        part = found[i : i + _CHUNK + words - 1]
+        lines = set(map(join, zip(*(part[k:] for k in range(words))))) if len(part) >= words else {join(part)}
+        hashes = b"".join([digest(line, seed) for line in lines for seed in (SEED, SEED + 1)])
+        bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, WIDE_BYTES), axis=1)
+        ones += bits.sum(axis=0, dtype=np.int64)
+        total += len(lines)
+    return np.packbits(2 * ones > total).tobytes(), len(found)
+
+
+def wide_radius(similarity: float) -> int:
+    """Bits in which fingerprints of shingle sets with this Jaccard similarity differ, and two deviations.
+
+    Equally large sets have the cosine 2 J / (1 + J), and a bit differs with the angle's share
+    of a half turn. The deviations keep nearly all pairs just above the similarity.
+    """
+    share = acos(2 * similarity / (1 + similarity)) / pi
+    bits = 8 * WIDE_BYTES
+    return int(bits * share + 2 * (bits * share * (1 - share)) ** 0.5)
+
+
+def wide_links(prints: DataFrame, radius: int) -> DataFrame:
+    """(u, v) as :func:`links`, of the distinct (fingerprint, size) with wide fingerprints.
+
+    Here the radius is too large for counts of bits to tell tiles apart, so a tile holds texts of
+    about the same size: similar ones differ by less than ``SIZE_STEP``, so a tile's fingerprints
+    visit the next one.
+    """
+    level = F.floor(F.log(SIZE_STEP, F.greatest("size", F.lit(1)))).cast("int")
+    base = _dealt(prints).select("fingerprint", level.alias("home"))
+    spread = base.select("*", F.explode(F.array("home", F.col("home") + 1)).alias("tile"))
+    # A few hundred tiles at most, as sizes are longs.
+    sizes = base.groupBy(F.col("home").alias("tile")).agg(
+        F.ceil(F.count("*") / WIDE_TILE_ROWS).cast("int").alias("chunks")
     )
+    return _deal(spread, sizes, "binary", radius)
 
 
 def near_duplicates(
@@ -182,12 +271,36 @@ def near_duplicates(
     """
     prints = materialised(fingerprints(docs.select(F.col(key), F.col(text)), text, words))
     nodes = prints.groupBy("fingerprint").agg(F.min(key).alias("least"))
-    roots = materialised(components(close_pairs(nodes, radius)))
+    found = _grouped(prints, nodes, links(nodes, radius), key)
+    return found.select(key, hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+def _grouped(prints: DataFrame, nodes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """(key, fingerprint, component_id) of every row of ``prints``."""
+    roots = materialised(components(edges))
     rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     members = rooted.join(ids, "root").select("fingerprint", "component_id")
-    return prints.join(members, "fingerprint").select(
-        key, hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id"
-    )
+    return prints.join(members, "fingerprint").select(key, "fingerprint", "component_id")
+
+
+def similar_texts(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """(key, fingerprint, component_id) of each row, linking texts of about this Jaccard similarity.
+
+    As :func:`near_duplicates`, with fingerprints of 256 bits over distinct shingles of five words and
+    the radius that belongs to the similarity: one of 64 bits cannot tell 0.8 from chance at
+    a radius that finds it. The decision is the fingerprints', as it is there.
+    """
+
+    def run(texts: list[bytes | None]) -> dict[str, pa.Array]:
+        made = [wide_fingerprint(t or b"", words) for t in texts]
+        return {"fingerprint": pa.array([m[0] for m in made], pa.binary()), "size": pa.array([m[1] for m in made])}
+
+    rows = map_blocks(docs.select(F.col(key), F.col(text)), text, run, "fingerprint binary, size bigint")
+    prints = materialised(rows.drop(text))
+    nodes = prints.groupBy("fingerprint").agg(F.min(key).alias("least"), F.min("size").alias("size"))
+    return _grouped(prints, nodes, wide_links(nodes, wide_radius(similarity)), key)
