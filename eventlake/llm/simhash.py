@@ -24,7 +24,7 @@ TILE_ROWS = 4096
 #: The same for wide fingerprints, whose tiles are larger.
 WIDE_TILE_ROWS = 1 << 15
 WIDE_BYTES = 32
-#: Sizes of texts in one tile differ by less than this factor.
+#: Numbers of shingles in one tile differ by less than this factor, one by the similarity.
 SIZE_STEP = 1.25
 _CHUNK = 1 << 16
 _WIDTH = 64 // PARTS
@@ -215,39 +215,43 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def wide_fingerprint(text: bytes, words: int) -> tuple[bytes, int]:
-    """A fingerprint of ``WIDE_BYTES`` over distinct shingles, and the number of words."""
+    """A fingerprint of ``WIDE_BYTES`` over distinct shingles, and how many these are."""
     found = text.lower().split()
     if not found:
         return bytes(WIDE_BYTES), 0
-    ones, total = np.zeros(8 * WIDE_BYTES, np.int64), 0
+    hashes = []
     digest, join = xxhash.xxh3_128_digest, b" ".join
     for i in range(0, max(1, len(found) - words + 1), _CHUNK):
         part = found[i : i + _CHUNK + words - 1]
         lines = set(map(join, zip(*(part[k:] for k in range(words))))) if len(part) >= words else {join(part)}
-        hashes = b"".join([digest(line, seed) for line in lines for seed in (SEED, SEED + 1)])
-        bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, WIDE_BYTES), axis=1)
+        hashes.append(b"".join([digest(line, seed) for line in lines for seed in (SEED, SEED + 1)]))
+    rows = np.frombuffer(b"".join(hashes), f"V{WIDE_BYTES}")
+    if len(hashes) > 1:
+        rows = np.unique(rows)
+    ones = np.zeros(8 * WIDE_BYTES, np.int64)
+    for i in range(0, len(rows), _CHUNK):
+        bits = np.unpackbits(rows[i : i + _CHUNK].view(np.uint8).reshape(-1, WIDE_BYTES), axis=1)
         ones += bits.sum(axis=0, dtype=np.int64)
-        total += len(lines)
-    return np.packbits(2 * ones > total).tobytes(), len(found)
+    return np.packbits(2 * ones > len(rows)).tobytes(), len(rows)
 
 
 def wide_radius(similarity: float) -> int:
-    """Bits in which fingerprints of shingle sets with this Jaccard similarity differ, and two deviations.
+    """Bits in which fingerprints of shingle sets with this Jaccard similarity differ, and a deviation.
 
     Equally large sets have the cosine 2 J / (1 + J), and a bit differs with the angle's share
-    of a half turn. The deviations keep nearly all pairs just above the similarity.
+    of a half turn. The deviation keeps most pairs just above the similarity.
     """
     share = acos(2 * similarity / (1 + similarity)) / pi
     bits = 8 * WIDE_BYTES
-    return int(bits * share + 2 * (bits * share * (1 - share)) ** 0.5)
+    return int(bits * share + (bits * share * (1 - share)) ** 0.5)
 
 
 def wide_links(prints: DataFrame, radius: int) -> DataFrame:
     """(u, v) as :func:`links`, of the distinct (fingerprint, size) with wide fingerprints.
 
-    Here the radius is too large for counts of bits to tell tiles apart, so a tile holds texts of
-    about the same size: similar ones differ by less than ``SIZE_STEP``, so a tile's fingerprints
-    visit the next one.
+    Here the radius is too large for counts of bits to tell tiles apart, so a tile holds texts with
+    about the same number of distinct shingles: of two sets with similarity 0.8 the larger has at most
+    ``SIZE_STEP`` times as many, so a tile's fingerprints visit the next one.
     """
     level = F.floor(F.log(SIZE_STEP, F.greatest("size", F.lit(1)))).cast("int")
     base = _dealt(prints).select("fingerprint", level.alias("home"))
