@@ -23,7 +23,7 @@ PARTS = 4
 TILE_ROWS = 4096
 #: The same for wide fingerprints, whose tiles are larger.
 WIDE_TILE_ROWS = 1 << 15
-WIDE_BYTES = 32
+WIDE_BYTES = 64
 #: Numbers of shingles in one tile differ by less than this factor, one by the similarity.
 SIZE_STEP = 1.25
 _CHUNK = 1 << 16
@@ -224,7 +224,7 @@ def wide_fingerprint(text: bytes, words: int) -> tuple[bytes, int]:
     for i in range(0, max(1, len(found) - words + 1), _CHUNK):
         part = found[i : i + _CHUNK + words - 1]
         lines = set(map(join, zip(*(part[k:] for k in range(words))))) if len(part) >= words else {join(part)}
-        hashes.append(b"".join([digest(line, seed) for line in lines for seed in (SEED, SEED + 1)]))
+        hashes.append(b"".join([digest(line, seed) for line in lines for seed in range(SEED, SEED + WIDE_BYTES // 16)]))
     rows = np.frombuffer(b"".join(hashes), f"V{WIDE_BYTES}")
     if len(hashes) > 1:
         rows = np.unique(rows)
@@ -236,14 +236,14 @@ def wide_fingerprint(text: bytes, words: int) -> tuple[bytes, int]:
 
 
 def wide_radius(similarity: float) -> int:
-    """Bits in which fingerprints of shingle sets with this Jaccard similarity differ, and a deviation.
+    """Bits in which fingerprints of shingle sets with this Jaccard similarity differ, and two deviations.
 
     Equally large sets have the cosine 2 J / (1 + J), and a bit differs with the angle's share
-    of a half turn. The deviation keeps most pairs just above the similarity.
+    of a half turn. The deviations keep nearly all pairs just above the similarity.
     """
     share = acos(2 * similarity / (1 + similarity)) / pi
     bits = 8 * WIDE_BYTES
-    return int(bits * share + (bits * share * (1 - share)) ** 0.5)
+    return int(bits * share + 2 * (bits * share * (1 - share)) ** 0.5)
 
 
 def wide_links(prints: DataFrame, radius: int) -> DataFrame:
@@ -295,7 +295,7 @@ def similar_texts(
 ) -> DataFrame:
     """(key, fingerprint, component_id) of each row, linking texts of about this Jaccard similarity.
 
-    As :func:`near_duplicates`, with fingerprints of 256 bits over distinct shingles of five words and
+    As :func:`near_duplicates`, with fingerprints of 512 bits over distinct shingles of five words and
     the radius that belongs to the similarity: one of 64 bits cannot tell 0.8 from chance at
     a radius that finds it. The decision is the fingerprints', as it is there.
     """
