@@ -57,9 +57,7 @@ def map_blocks(
     ``added`` is the schema text of the new columns. A task holds one Arrow batch of
     rows and works through it in blocks of about ``BLOCK_BYTES`` of text.
     """
-    taken = {name.lower() for name in df.columns} & {part.split()[0].lower() for part in added.split(", ")}
-    if taken:
-        raise ValueError(f"columns already there: {sorted(taken)}")
+    refuse_clash(df.columns, [part.split()[0] for part in added.split(", ")])
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), added])
     names = [*df.columns, *(part.split()[0] for part in added.split(", "))]
 
@@ -75,6 +73,12 @@ def map_blocks(
     return df.mapInArrow(run, schema)
 
 
+def refuse_clash(columns: Iterable[str], added: Iterable[str]) -> None:
+    taken = {name.lower() for name in columns} & {name.lower() for name in added}
+    if taken:
+        raise ValueError(f"columns already there: {sorted(taken)}")
+
+
 def byte_blocks(batch: pa.RecordBatch, at: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose column ``at`` holds about ``limit`` bytes each."""
     if not batch.num_rows:

@@ -163,7 +163,8 @@ def own_licences(
 
 
 def _parent(path: Column) -> Column:
-    return F.when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.lit(""))
+    """Directory of a path; null has none."""
+    return F.when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", "")).when(path.isNotNull(), "")
 
 
 def scan(

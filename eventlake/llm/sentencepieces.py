@@ -10,13 +10,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-from eventlake.llm.common import byte_blocks
+from eventlake.llm.common import byte_blocks, refuse_clash
 from eventlake.llm.pieces import BPE, MARKER, MODEL_PATH, NORMAL, UNKNOWN, PieceModel
 
 #: Distinct parts that a task remembers before it starts afresh.
 REMEMBERED = 1 << 18
 #: Parts in a line that is encoded at once.
 LINE_PARTS = 128
+_LEAD = "a"
 
 
 def merges(model: PieceModel) -> list[tuple[str, str]]:
@@ -78,6 +79,7 @@ class Encoder:
         self.tokenizer = rebuild(model)
         self.original = sentencepiece.SentencePieceProcessor(model_proto=model.raw)
         self.marks = np.array([piece.startswith(MARKER) for piece, _, _ in model.pieces])
+        self.lead = len(self.original.encode(_LEAD))
         self.forget()
 
     def forget(self) -> None:
@@ -93,8 +95,11 @@ class Encoder:
         return self.model.parts(text) if self.model.splits else [text]
 
     def plain(self, part: str) -> str:
-        """The text that stands for a part: both encoders put the first marker in themselves."""
-        return part[1:] if self.model.splits else part
+        """The text that stands for a part: both encoders put the first marker in themselves.
+
+        A lone space ends a text and has no text of its own; it stands behind a letter.
+        """
+        return part if not self.model.splits else part[1:] or _LEAD + part
 
     def batch(self, lines: list[str]) -> tuple[list[list[int]], list[bool], list[bool]]:
         """Ids of the lines from one multithreaded batch, whether they are the original's and decode back."""
@@ -117,6 +122,7 @@ class Encoder:
                 alone += parts
         flags = np.ones(sum(len(parts) for parts, _, _ in found), bool)
         ids, same, back = self.batch([self.plain(p) for p in alone])
+        ids = [row if p != " " or not self.model.splits else row[self.lead :] for p, row in zip(alone, ids)]
         found.append((alone, np.array([x for row in ids for x in row], np.int32), np.array([len(r) for r in ids], np.int64)))
         for parts, _, _ in found:
             self.place.update(zip(parts, range(len(self.place), len(self.place) + len(parts))))
@@ -155,6 +161,7 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL_PATH) ->
     """
     shared = docs.sparkSession.sparkContext.broadcast(PieceModel.load(model_path))
     keep = [name for name in docs.columns if name != text]
+    refuse_clash(keep, ["ids", "n_tokens", "parity", "round_trip"])
     names = [*keep, "ids", "n_tokens", "parity", "round_trip"]
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text]
     schema += ["ids array<int>", "n_tokens int", "parity boolean", "round_trip boolean"]
