@@ -185,6 +185,8 @@ def decode(encoded: DataFrame, ids: str = "ids", model_path: str = MODEL_PATH) -
     """All columns of ``encoded`` and ``decoded``, the text of its ids; null ids give null."""
     shared = encoded.sparkSession.sparkContext.broadcast(PieceModel.load(model_path))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema), "decoded string"])
+    names = [*encoded.columns, "decoded"]
+    refuse_clash(encoded.columns, ["decoded"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = rebuild(shared.value)
@@ -192,6 +194,6 @@ def decode(encoded: DataFrame, ids: str = "ids", model_path: str = MODEL_PATH) -
             lists = batch.column(ids).to_pylist()
             texts = iter(tokenizer.decode_batch([x for x in lists if x is not None], skip_special_tokens=False))
             decoded = pa.array([None if x is None else next(texts) for x in lists], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*encoded.columns, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=names)
 
     return encoded.mapInArrow(run, schema)
