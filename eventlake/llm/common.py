@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -12,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Text handled at once inside a task; longer single texts are handled alone.
 BLOCK_BYTES = 1 << 20
+#: Rows that pass between Spark and Python at once; a longer single row passes alone.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -70,7 +74,7 @@ def map_blocks(
                 columns = [*block.columns, *made.values()]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def refuse_clash(columns: Iterable[str], added: Iterable[str]) -> None:
@@ -79,6 +83,34 @@ def refuse_clash(columns: Iterable[str], added: Iterable[str]) -> None:
         raise ValueError(f"columns already there: {sorted(taken)}")
 
 
+def _release() -> None:
+    """Give freed memory back: idle Python workers stay beside later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def map_batches(
+    df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``mapInArrow`` with batches of ``BATCH_BYTES``, so that long texts don't come ten thousand at once.
+
+    The session's own setting is kept where its configuration names one.
+    """
+    spark = df.sparkSession
+    if not spark.sparkContext.getConf().contains(_BATCH_SETTING):
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _release()
+
+    return df.mapInArrow(run, schema)
+
+
 def byte_blocks(batch: pa.RecordBatch, at: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose column ``at`` holds about ``limit`` bytes each."""
     if not batch.num_rows:

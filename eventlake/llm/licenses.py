@@ -10,7 +10,7 @@ from math import log, sqrt
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventlake.llm.common import byte_blocks, map_blocks, materialised
+from eventlake.llm.common import byte_blocks, map_batches, map_blocks, materialised
 
 # Licences by SPDX name and wordings of their notices.
 TEMPLATES = {
@@ -132,7 +132,8 @@ def document_counts(files: DataFrame, text: str, templates: Mapping[str, Iterabl
         rows = [pa.array([t.decode() for t in seen]), pa.array(seen.values(), pa.int64())]
         yield pa.RecordBatch.from_arrays(rows, names=["term", "n"])
 
-    counted = files.select(text).mapInArrow(count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = map_batches(files.select(text), count, "term string, n bigint")
+    counted = counted.groupBy("term").agg(F.sum("n").alias("n"))
     found = {row["term"]: row["n"] for row in counted.collect()}
     docs = found.pop("", 0)
     return {t.decode(): found.get(t.decode(), 0) for t in wanted}, docs

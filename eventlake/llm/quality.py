@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from eventlake.llm.common import byte_blocks, hash_slot, map_blocks, remainder, sampled_share
+from eventlake.llm.common import byte_blocks, hash_slot, map_batches, map_blocks, remainder, sampled_share
 
 #: Words are hashed to so many rows of the word-vector table.
 BUCKETS = 1 << 13
@@ -108,7 +108,7 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
         yield from rows(total)
 
     schema = "bucket int, v binary"
-    summed = docs.select(text).mapInArrow(count, schema).repartition("bucket").mapInArrow(add, schema)
+    summed = map_batches(map_batches(docs.select(text), count, schema).repartition("bucket"), add, schema)
     table = np.zeros((BUCKETS, SIZE), np.float32)
     for bucket, v in summed.collect():
         table[bucket] = np.frombuffer(v, np.float64)

@@ -10,7 +10,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-from eventlake.llm.common import byte_blocks, refuse_clash
+from eventlake.llm.common import byte_blocks, map_batches, refuse_clash
 from eventlake.llm.pieces import BPE, MARKER, MODEL_PATH, NORMAL, UNKNOWN, PieceModel
 
 #: Distinct parts that a task remembers before it starts afresh.
@@ -178,7 +178,7 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL_PATH) ->
                     [*columns, ids, counts, pa.array(parity), pa.array(returned)], names=names
                 )
 
-    return docs.mapInArrow(run, ", ".join(schema))
+    return map_batches(docs, run, ", ".join(schema))
 
 
 def decode(encoded: DataFrame, ids: str = "ids", model_path: str = MODEL_PATH) -> DataFrame:
@@ -196,4 +196,4 @@ def decode(encoded: DataFrame, ids: str = "ids", model_path: str = MODEL_PATH) -
             decoded = pa.array([None if x is None else next(texts) for x in lists], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=names)
 
-    return encoded.mapInArrow(run, schema)
+    return map_batches(encoded, run, schema)

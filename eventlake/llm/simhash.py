@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventlake.llm.common import map_blocks, materialised
+from eventlake.llm.common import map_batches, map_blocks, materialised
 from eventlake.llm.components import components
 
 RADIUS = 2
@@ -175,11 +175,8 @@ def _deal(spread: DataFrame, sizes: DataFrame, kind: str, radius: int) -> DataFr
         .withColumn("guest", ((F.col("tile") != F.col("home")) | (F.col("chunk") != F.col("first"))).cast("int"))
         .select("tile", "chunk", "guest", "fingerprint")
     )
-    return (
-        work.repartition("tile", "chunk")
-        .sortWithinPartitions("tile", "chunk", "guest")
-        .mapInArrow(_links_in_tiles(radius), f"u {kind}, v {kind}")
-    )
+    work = work.repartition("tile", "chunk").sortWithinPartitions("tile", "chunk", "guest")
+    return map_batches(work, _links_in_tiles(radius), f"u {kind}, v {kind}")
 
 
 def _dealt(prints: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from eventlake.llm.common import byte_blocks, refuse_clash
+from eventlake.llm.common import byte_blocks, map_batches, refuse_clash
 from eventlake.llm.grams import Lookup
 from eventlake.llm.pieces import MARKER, MODEL_PATH, NORMAL, PieceModel
 
@@ -184,4 +184,4 @@ def count_tokens(docs: DataFrame, text: str = "text", model_path: str = MODEL_PA
                     [*columns, sizes, pa.array(counter.count(cut))], names=[*keep, "n_pretokens", "n_tokens"]
                 )
 
-    return docs.mapInArrow(run, ", ".join([*schema, "n_pretokens bigint", "n_tokens bigint"]))
+    return map_batches(docs, run, ", ".join([*schema, "n_pretokens bigint", "n_tokens bigint"]))
