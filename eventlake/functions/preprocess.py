@@ -12,7 +12,7 @@ log = logging.getLogger(__name__)
 Preprocess = Callable[[DataFrame], DataFrame]
 _PREPROCESS: dict[str, Preprocess] = {}
 
-# Flattened name -> key inside the post-match objects.
+# Flattened name -> key inside the post-match objects.
 _FLATTENED = {
     "coin_balance": "coin-balance-after-match",
     "level": "level-after-match",

@@ -7,11 +7,12 @@ and registered with :func:`column_rule`; chained, they collapse into one project
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 log = logging.getLogger(__name__)
 
@@ -19,12 +20,6 @@ Rule = Callable[[DataFrame, str, Mapping[str, Any]], DataFrame]
 
 _RULES: dict[str, Rule] = {}
 
-# Up to this many entries a mapping is a CASE expression, beyond it a lookup join.
-CASE_LIMIT = 50
-# Lookup tables with at most this many entries are broadcast.
-BROADCAST_LIMIT = 100_000
-
-
 class MalformedRule(ValueError):
     """A rule that cannot be applied; the chain skips it."""
 
@@ -86,27 +81,40 @@ def mapping(df: DataFrame, field: str, params: Mapping[str, Any]) -> DataFrame:
     else:
         fallback = F.lit(None)
 
-    if len(entries) <= CASE_LIMIT:
-        branches = iter(entries.items())
-        key, value = next(branches)
-        looked_up = F.when(source == F.lit(key), F.lit(value))
-        for key, value in branches:
-            looked_up = looked_up.when(source == F.lit(key), F.lit(value))
-        return df.withColumn(field, looked_up.otherwise(fallback))
-
-    # The entry may itself map to null, so the join carries a marker.
-    lookup = df.sparkSession.createDataFrame(
-        [(key, value, True) for key, value in entries.items()],
-        "_key string, _value string, _found boolean",
-    )
-    if len(entries) <= BROADCAST_LIMIT:
-        lookup = F.broadcast(lookup)
-    target = F.when(F.col("_found"), F.col("_value")).otherwise(fallback)
-    return (
-        df.join(lookup, source == F.col("_key"), "left")
-        .withColumn(field, target)
-        .drop("_key", "_value", "_found")
-    )
+    in_place = source_name == field and not default
+    text = in_place and isinstance(df.schema[source_name].dataType, T.StringType)
+    kind = "string" if text else _value_type([*entries.values(), *([default] if default else [])])
+    table, key = _literal_map(entries, kind), source.cast("string")
+    # An entry may itself map to null, so its presence decides.
+    found = F.map_contains_key(table, key)
+    return df.withColumn(field, F.when(found, F.try_element_at(table, key)).otherwise(fallback))
+
+
+def _value_type(values: Iterable[Any]) -> str:
+    """Spark type of a dictionary's values, whatever their number.
+
+    Whole numbers are ``int``, or ``bigint`` if one needs it, numbers ``double``, truth values
+    ``boolean``; anything else, and mixtures, are ``string``.
+    """
+    values = [value for value in values if value is not None]
+    if values and all(isinstance(value, bool) for value in values):
+        return "boolean"
+    if not values or any(isinstance(v, bool) or not isinstance(v, (int, float)) for v in values):
+        return "string"
+    if any(isinstance(value, float) for value in values):
+        return "double"
+    return "bigint" if any(abs(value) >= 1 << 31 for value in values) else "int"
+
+
+def _literal_map(entries: Mapping[Any, Any], kind: str) -> Column:
+    """The entries as one literal; keys are compared as text."""
+    shown = {_text(key): _text(v) if kind == "string" else v for key, v in entries.items()}
+    return F.from_json(F.lit(json.dumps(shown)), f"map<string,{kind}>")
+
+
+def _text(value: Any) -> str | None:
+    """As Spark casts it to text; null stays null."""
+    return None if value is None else str(value).lower() if isinstance(value, bool) else str(value)
 
 
 _BUILT_IN_EXPRESSIONS = {"uppercase": F.upper, "lowercase": F.lower, "trim": F.trim}

@@ -4,9 +4,10 @@ The relation is a left outer interval join: same user, and the init at most 24 h
 before the event (both ends inclusive, whole seconds). An event with k such inits
 counts k times; without any it counts once under a null country.
 
-Streams run that join as written. Batch jobs never form the pairs. All inits of one
-user and country within a second are interchangeable, so they sweep a running count
-of *active* inits along each user's time line instead:
+All inits of one user and country within a second are interchangeable, and so are a
+user's events of a second for the windowed metrics. Streams add both sides up per second
+before they join them, so pairs are of seconds, not of rows. Batch jobs form no
+pairs: they sweep a running count of *active* inits along each user's time line instead:
 
 * time is cut into buckets as long as the look-back. An init is active from its own
   second to the end of its bucket, and in the next bucket from the start to the same
@@ -141,19 +142,21 @@ def enrich(
     user: str = "user-id",
     lookback: int = LOOKBACK_SECONDS,
     delay: str = WATERMARK_DELAY,
-    hot_users: Sequence[str] = (),
-    salts: int = 16,
 ) -> DataFrame:
-    """Events with ``event_timestamp`` and ``country_name``, one row per matching init.
+    """Events with ``event_timestamp``, ``country_name`` and ``copies``.
 
-    ``hot_users`` and ``salts`` apply to streams only, see :func:`interval_join`.
+    In batch there is one row per event and country in reach, ``copies`` being the number of
+    matching inits, 1 without any. As a stream there is one row per event, country and second
+    with inits, whose ``copies`` add up to the same.
     """
     if events.isStreaming or inits.isStreaming:
-        return interval_join(events, inits, user, lookback, delay, hot_users, salts)
+        left = events.withColumn("event_timestamp", event_timestamp())
+        # As late within the second as the times of added-up inits.
+        moment = F.col("event_timestamp") + F.expr("interval 999999 microseconds")
+        left = left.withColumn("_moment", moment).withWatermark("_moment", delay)
+        return _joined(left, inits, user, lookback, delay).drop("_moment")
     seconds = init_multiplicity(events, inits, user, lookback=lookback)
-    return _attach(events, seconds, user).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)).cast("int")))
-    ).drop("copies", "_copy")
+    return _attach(events, seconds, user).withColumn("copies", F.coalesce("copies", F.lit(1)))
 
 
 def enrich_latest(
@@ -232,77 +235,55 @@ def _attach(events: DataFrame, seconds: DataFrame, user: str) -> DataFrame:
     )
 
 
-def heavy_keys(df: DataFrame, column: str, share: float = 0.05) -> list[str]:
-    """Values that each hold more than ``share`` of the rows: at most ``1 / share`` of them."""
-    total = df.count()
-    counts = df.groupBy(F.col(f"`{column}`").alias("key")).count()
-    heavy = counts.filter((F.col("count") > total * share) & F.col("key").isNotNull())
-    return [row["key"] for row in heavy.select("key").collect()]
+def _seconds(df: DataFrame, keys: Sequence[Column], delay: str, *sums: Column) -> DataFrame:
+    """Rows of a stream added up by key and second; ``_moment`` is the second's last microsecond."""
+    return (
+        df.withColumn("_at", event_timestamp())
+        .withWatermark("_at", delay)
+        .groupBy(F.window("_at", "1 second"), *keys)
+        .agg(*sums)
+        .withColumn("_moment", F.window_time("window"))
+        .drop("window")
+    )
+
+
+def _joined(
+    left: DataFrame, inits: DataFrame, user: str, lookback: int, delay: str
+) -> DataFrame:
+    """Stream-stream left outer interval join of ``left`` by ``_moment`` with the inits' seconds.
+
+    Both sides carry a watermark, so the state store drops inits once nothing can reach
+    them and emits what stayed unmatched. A user's state has at most one row per second and
+    country, however many inits there were.
+    """
+    keys = [F.col("`user-id`").alias("_init_user"), F.col("country_name")]
+    known = inits.filter(F.col("`user-id`").isNotNull())
+    right = _seconds(known, keys, delay, F.count(F.lit(1)).alias("copies"))
+    right = right.withColumnRenamed("_moment", "_init_moment")
+    condition = (
+        (F.col(f"`{user}`") == F.col("_init_user"))
+        & (F.col("_init_moment") <= F.col("_moment"))
+        & (F.col("_init_moment") >= F.col("_moment") - F.expr(f"interval {lookback} seconds"))
+    )
+    joined = left.join(right, condition, "left").drop("_init_user", "_init_moment")
+    return joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
 
 
-def interval_join(
+def stream_multiplicity(
     events: DataFrame,
     inits: DataFrame,
     user: str = "user-id",
+    measures: dict[str, Column] | None = None,
     lookback: int = LOOKBACK_SECONDS,
     delay: str = WATERMARK_DELAY,
-    hot_users: Sequence[str] = (),
-    salts: int = 16,
 ) -> DataFrame:
-    """The stream-stream left outer interval join.
+    """The stream's form of :func:`init_multiplicity`, with ``event_timestamp`` for windows.
 
-    Both sides carry a watermark, so the state store drops inits once no event can
-    reach them and emits unmatched events. Events of ``hot_users``, and those without
-    a user, spread over ``salts`` state partitions. Inits of hot users are kept once
-    per salt, those of other users once.
+    Where a row is kept depends on its own key and time alone, so a restart finds all of
+    the state that earlier runs left.
     """
-    is_hot = F.lit(False)
-    if hot_users:
-        is_hot = F.coalesce(F.col(f"`{user}`").isin(list(hot_users)), F.lit(False))
-    is_spread = is_hot | F.col(f"`{user}`").isNull()
-    left = (
-        events.withColumn("event_timestamp", event_timestamp())
-        .withWatermark("event_timestamp", delay)
-        .withColumn(
-            "_salt",
-            F.when(is_spread, F.pmod(F.xxhash64("time", *_stable_columns(events)), F.lit(salts)))
-            .otherwise(0)
-            .cast("int"),
-        )
-    )
-    init_is_hot = F.lit(False)
-    if hot_users:
-        init_is_hot = F.coalesce(F.col("_init_user").isin(list(hot_users)), F.lit(False))
-    right = (
-        inits.select(
-            F.col("`user-id`").alias("_init_user"),
-            "country_name",
-            event_timestamp().alias("_init_timestamp"),
-        )
-        .withWatermark("_init_timestamp", delay)
-        .withColumn(
-            "_init_salt",
-            F.explode(
-                F.when(init_is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-    )
-    condition = (
-        (F.col(f"`{user}`") == F.col("_init_user"))
-        & (F.col("_salt") == F.col("_init_salt"))
-        & (F.col("_init_timestamp") <= F.col("event_timestamp"))
-        & (
-            F.col("_init_timestamp")
-            >= F.col("event_timestamp") - F.expr(f"interval {lookback} seconds")
-        )
+    sums = [F.sum(expression).alias(name) for name, expression in (measures or {}).items()]
+    left = _seconds(events, [F.col(f"`{user}`").alias("user")], delay, *sums)
+    return _joined(left, inits, "user", lookback, delay).withColumnRenamed(
+        "_moment", "event_timestamp"
     )
-    return left.join(right, condition, "left").drop(
-        "_salt", "_init_salt", "_init_user", "_init_timestamp"
-    )
-
-
-def _stable_columns(df: DataFrame) -> list[str]:
-    """Payload columns that exist in every silver table and survive a replay."""
-    return [f"`{name}`" for name in ("kafka_timestamp", "user-b", "product-id") if name in df.columns]

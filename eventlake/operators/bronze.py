@@ -32,7 +32,8 @@ def to_bronze_legacy(kafka: DataFrame) -> DataFrame:
 
 
 def drop_unparseable(bronze: DataFrame, column: str = "event_json") -> DataFrame:
-    """Keep rows whose payload is JSON."""
+    """Keep rows whose payload is JSON; of a repeated key the last value counts."""
+    bronze.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return bronze.filter(F.try_parse_json(F.col(column)).isNotNull())
 
 

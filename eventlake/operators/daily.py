@@ -22,7 +22,11 @@ def init_on_days(inits: DataFrame, first: Day | None = None, last: Day | None =
         raise ValueError("a last day needs a first day")
     first_day = yesterday() if first is None else F.lit(iso_date(first)).cast("date")
     last_day = first_day if last is None else F.lit(iso_date(last)).cast("date")
-    return inits.filter(between_days(first_day, last_day)).withColumn("event_date", event_date())
+    wanted = between_days(first_day, last_day)
+    if "event_date" in inits.columns:
+        # A table laid out by day: only these days' folders are listed.
+        wanted = F.col("event_date").between(first_day, last_day) & wanted
+    return inits.filter(wanted).withColumn("event_date", event_date())
 
 
 def distinct_users(

@@ -15,7 +15,7 @@ from eventlake.operators.attribution import (
     LOOKBACK_SECONDS,
     WATERMARK_DELAY,
     init_multiplicity,
-    interval_join,
+    stream_multiplicity,
 )
 
 WINDOW = "1 minute"
@@ -107,6 +107,21 @@ def minute_match_players(
     return _windowed(players, {"distinct_users": _distinct("player", exact)}, window)
 
 
+def _attributed(
+    events: DataFrame,
+    inits: DataFrame,
+    user: str,
+    measures: dict[str, Column],
+    lookback: int,
+    delay: str,
+) -> DataFrame:
+    """(user, event_timestamp, country_name, copies, measures) per user and second."""
+    if events.isStreaming:
+        return stream_multiplicity(events, inits, user, measures, lookback, delay)
+    seconds = init_multiplicity(events, inits, user, measures, lookback)
+    return seconds.withColumn("event_timestamp", F.timestamp_seconds("second"))
+
+
 def minute_purchases_by_country(
     purchases: DataFrame,
     inits: DataFrame,
@@ -115,28 +130,14 @@ def minute_purchases_by_country(
     lookback: int = LOOKBACK_SECONDS,
     delay: str = WATERMARK_DELAY,
     exact: bool = False,
-    hot_users: Sequence[str] = (),
 ) -> DataFrame:
     """Purchases and revenue per country of the buyer's inits in the look-back.
 
     A purchase counts once per matching init. As a stream, a window appears only
     after the look-back plus the delay has passed.
     """
-    if purchases.isStreaming:
-        joined = interval_join(purchases, inits, "user-id", lookback, delay, hot_users)
-        metrics = {
-            "country_revenue": F.sum("purchase_value"),
-            "purchase_count": F.count(F.lit(1)),
-            "distinct_users": _distinct("user-id", exact),
-        }
-        return _windowed(joined, metrics, window, slide, "country_name")
-    seconds = init_multiplicity(
-        purchases,
-        inits,
-        "user-id",
-        {"_events": F.lit(1), "_revenue": F.col("purchase_value")},
-        lookback,
-    ).withColumn("event_timestamp", F.timestamp_seconds("second"))
+    measures = {"_events": F.lit(1), "_revenue": F.col("purchase_value")}
+    seconds = _attributed(purchases, inits, "user-id", measures, lookback, delay)
     metrics = {
         "country_revenue": F.sum(F.col("copies") * F.col("_revenue")),
         "purchase_count": F.sum(F.col("copies") * F.col("_events")),
@@ -153,20 +154,10 @@ def minute_matches_by_country(
     lookback: int = LOOKBACK_SECONDS,
     delay: str = WATERMARK_DELAY,
     exact: bool = False,
-    hot_users: Sequence[str] = (),
 ) -> DataFrame:
     """Matches per country of player A's inits, or of both players' with two sides."""
     players = _players(matches, sides)
-    if matches.isStreaming:
-        joined = interval_join(players, inits, "player", lookback, delay, hot_users)
-        metrics = {
-            "match_count": F.count(F.lit(1)),
-            "distinct_users": _distinct("player", exact),
-        }
-        return _windowed(joined, metrics, window, key="country_name")
-    seconds = init_multiplicity(
-        players, inits, "player", {"_events": F.lit(1)}, lookback
-    ).withColumn("event_timestamp", F.timestamp_seconds("second"))
+    seconds = _attributed(players, inits, "player", {"_events": F.lit(1)}, lookback, delay)
     metrics = {
         "match_count": F.sum(F.col("copies") * F.col("_events")),
         "distinct_users": _distinct("user", exact),

@@ -8,6 +8,7 @@ from eventlake.functions.rules import apply_rules
 from eventlake.plans.event_types import EventType
 from eventlake.schemas import EVENT_DDL
 
+
 def parse_events(bronze: DataFrame) -> DataFrame:
     """Unified payload columns plus the two bronze timestamps.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from eventlake.functions.event_time import event_timestamp
 from eventlake.functions.rules import map_values
 from eventlake.functions.validation import conforms, event_type_of, violations
 from eventlake.sources.kafka import TOPIC_OF_EVENT_TYPE
@@ -13,8 +14,10 @@ def validate_events(df: DataFrame, payload: str = "event_json") -> DataFrame:
     """Add ``event_type``, ``violations`` and ``is_valid`` for every payload.
 
     Each payload is parsed once: the generator steps keep the optimizer from copying
-    the parse into every place that uses it, such as a filter on ``is_valid``.
+    the parse into every place that uses it, such as a filter on ``is_valid``. Of a key that
+    occurs twice the last value counts, which Spark does by a session setting; it is set here.
     """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     doc = F.col("_doc")
     kinds = F.struct(
         event_type_of(doc).alias("event_type"), F.schema_of_variant(doc).alias("shape")
@@ -55,18 +58,25 @@ def validation_summary(validated: DataFrame) -> DataFrame:
     )
 
 
-def observe_validity(validated: DataFrame, metrics: Observation | str) -> DataFrame:
+def observe_validity(
+    validated: DataFrame, metrics: Observation | str, payload: str = "event_json"
+) -> DataFrame:
     """The same counters collected as a side effect of another action.
 
     Batch callers pass an ``Observation``; streams pass a name and read the counters
-    of each micro-batch from the query progress.
+    of each micro-batch from the query progress. ``untimed`` counts valid events whose time
+    lies outside the years 1-9999, or beyond 64 bits: no window or day will hold them.
     """
-    return validated.observe(
+    time = F.get_json_object(F.col(payload), "$.time").try_cast("bigint")
+    validated = validated.withColumn("_time", time)
+    counted = validated.observe(
         metrics,
         F.count(F.lit(1)).alias("generated"),
         F.count_if("is_valid").alias("valid"),
         F.count_if(~F.col("is_valid")).alias("invalid"),
+        F.count_if(F.col("is_valid") & event_timestamp("_time").isNull()).alias("untimed"),
     )
+    return counted.drop("_time")
 
 
 def route_topics(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Values the test feed cycles through. ZZ has no country name.
+# Fixed values that the test feed cycles through. ZZ has no country name.
 COUNTRY_CYCLE = ("US", "UK", "BR", "JP", "DE", "FR", "IN", "CN", "CA", "AU", "ZZ")
 PLATFORM_CYCLE = ("iOS", "Android", "Web")
 DEVICE_CYCLE = ("iPhone 14", "Galaxy S23", "Chrome")
@@ -16,10 +16,7 @@ BROKEN_JSON = "{bad"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table; a table with fewer file splits than cores is spread over all."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from eventlake.functions.preprocess import Preprocess, get_preprocess
 log = logging.getLogger(__name__)
 
 CONFIG_FILE = Path(__file__).parent.parent / "config" / "event_types.yml"
-_REQUIRED = ("event_type", "event_filter", "silver_table", "transform_key")
+_REQUIRED = ("event_type", "event_filter", "silver_table")
 
 
 @dataclass(frozen=True)
@@ -23,7 +23,6 @@ class EventType:
     event_type: str
     event_filter: str
     silver_table: str
-    transform_key: str
     rules: list[Mapping[str, Any]] = field(default_factory=list)
     preprocess: Preprocess | None = None
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.operators.bronze import to_bronze
 from eventlake.operators.daily import distinct_users
@@ -15,6 +15,7 @@ from eventlake.operators.minute import (
 )
 from eventlake.operators.silver import clean, parse_events
 from eventlake.plans.event_types import default_event_types
+from eventlake.sources.tables import read_table
 
 
 def silver_tables(bronze: DataFrame) -> dict[str, DataFrame]:
@@ -23,15 +24,11 @@ def silver_tables(bronze: DataFrame) -> dict[str, DataFrame]:
     return {name: clean(parsed, kind) for name, kind in default_event_types().items()}
 
 
-def layers(kafka: DataFrame, window: str = WINDOW, exact: bool = False) -> dict[str, DataFrame]:
-    bronze = to_bronze(kafka)
-    silver = silver_tables(bronze)
+def gold_tables(
+    silver: dict[str, DataFrame], window: str = WINDOW, exact: bool = False
+) -> dict[str, DataFrame]:
     init, match, purchase = silver["init"], silver["match"], silver["purchase"]
     return {
-        "bronze": bronze,
-        "silver-init": init,
-        "silver-match": match,
-        "silver-purchase": purchase,
         "gold-daily-users": distinct_users(init),
         "gold-minute-purchases": minute_purchases(purchase, window, exact=exact),
         "gold-minute-matches": minute_matches(match, window, exact=exact),
@@ -42,3 +39,27 @@ def layers(kafka: DataFrame, window: str = WINDOW, exact: bool = False) -> dict[
             match, init, window, exact=exact
         ),
     }
+
+
+def layers(kafka: DataFrame, window: str = WINDOW, exact: bool = False) -> dict[str, DataFrame]:
+    bronze = to_bronze(kafka)
+    silver = silver_tables(bronze)
+    named = {f"silver-{name}": df for name, df in silver.items()}
+    return {"bronze": bronze} | named | gold_tables(silver, window, exact)
+
+
+def written_layers(
+    spark: SparkSession, kafka: DataFrame, root: str, window: str = WINDOW
+) -> dict[str, DataFrame]:
+    """The same tables, each computed once from the written one before and read back."""
+
+    def written(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{root}/{name}")
+        return read_table(spark, f"{root}/{name}")
+
+    bronze = written("bronze", to_bronze(kafka))
+    parsed = written("parsed", parse_events(bronze))
+    kinds = default_event_types()
+    silver = {name: written(f"silver-{name}", clean(parsed, kind)) for name, kind in kinds.items()}
+    gold = {name: written(name, df) for name, df in gold_tables(silver, window).items()}
+    return {"bronze": bronze} | {f"silver-{name}": df for name, df in silver.items()} | gold

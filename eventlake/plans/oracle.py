@@ -6,17 +6,38 @@ without going through JSON wherever the query does not return JSON text.
 
 from __future__ import annotations
 
-from eventlake.plans.event_types import default_event_types
 from eventlake.plans.queries import DAY, LATE_BOUNDS, RANGE, SINCE
 
-_KINDS = default_event_types()
+# Fixed values, stated here again so that the shipped configuration is checked against them.
+_COUNTRY_NAMES = {
+    "US": "United States",
+    "UK": "United Kingdom",
+    "BR": "Brazil",
+    "JP": "Japan",
+    "DE": "Germany",
+    "FR": "France",
+    "IN": "India",
+    "CN": "China",
+    "CA": "Canada",
+    "AU": "Australia",
+}
+_PRODUCT_NAMES = {
+    "PROD001": "Coin Pack Small",
+    "PROD002": "Coin Pack Medium",
+    "PROD003": "Coin Pack Large",
+    "PROD004": "Premium Pass",
+    "PROD005": "VIP Membership",
+    "PROD006": "Coin Pack Mega",
+    "PROD007": "Coin Pack Ultimate",
+    "PROD008": "Starter Pack",
+    "PROD009": "Boost Pack",
+    "PROD010": "Special Offer",
+}
 
 
-def _case(column: str, table: str, rule: int) -> str:
-    """CASE expression of a shipped mapping rule."""
-    params = _KINDS[table].rules[rule]["params"]
-    branches = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in params["mapping"].items())
-    return f"CASE {column} {branches} ELSE '{params['default']}' END"
+def _case(column: str, names: dict[str, str], default: str) -> str:
+    branches = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items())
+    return f"CASE {column} {branches} ELSE '{default}' END"
 
 
 def _user(number: str) -> str:
@@ -47,12 +68,12 @@ feed AS (
   FROM raw
 ),
 init AS (
-  SELECT *, {_case("country", "init", 1)} AS country_name
+  SELECT *, {_case("country", _COUNTRY_NAMES, "Unknown")} AS country_name
   FROM feed WHERE event_type IN ('signup', 'view')
 ),
 game AS (SELECT * FROM feed WHERE event_type = 'click'),
 purchase AS (
-  SELECT *, {_case("product", "purchase", 0)} AS product_name
+  SELECT *, {_case("product", _PRODUCT_NAMES, "Unknown Product")} AS product_name
   FROM feed WHERE event_type = 'purchase'
 )
 """
@@ -415,11 +436,11 @@ SELECT make_timestamp((sec // 60 - back) * 60 * 1000000) AS window_start,
 FROM joined, (SELECT unnest([0, 1, 2, 3, 4]) AS back) GROUP BY ALL"""
 
 
-def _closed(body: str, drop: str, *inputs: str, extra: str = "") -> str:
+def _closed(body: str, *inputs: str, extra: str = "") -> str:
     """Windows an append-mode stream has emitted once it has read everything."""
     latest = ", ".join(f"(SELECT max(event_ts) FROM {name})" for name in inputs)
     return f"""
-SELECT * EXCLUDE ({drop}) FROM ({body})
+SELECT * FROM ({body})
 WHERE window_end <= least({latest}) - INTERVAL 10 MINUTE {extra}"""
 
 
@@ -440,7 +461,8 @@ _LATE_BODY = f"""
 SELECT * FROM (
   SELECT {_window("sec", 60)} AS window_start,
          {_window("sec", 60)} + INTERVAL 1 MINUTE AS window_end,
-         count(*) AS purchase_count, round(sum(value), 2) AS total_revenue
+         count(*) AS purchase_count, round(sum(value), 2) AS total_revenue,
+         count(DISTINCT uid) AS distinct_users
   FROM kept GROUP BY ALL)
 WHERE window_end <= (SELECT max(event_ts) FROM purchase) - INTERVAL 10 MINUTE"""
 
@@ -464,8 +486,11 @@ def _top(body: str, order: str, n: int) -> str:
     return f"SELECT * FROM ({body}) ORDER BY {order} LIMIT {n}"
 
 
-def _enriched(columns: str, source: str = "joined", country: str = "seen_country") -> str:
-    return f'SELECT ms AS "time", {columns}, event_ts AS event_timestamp, {country} AS country_name FROM {source}'
+def _enriched(columns: str) -> str:
+    return (
+        f'SELECT ms AS "time", {columns}, event_ts AS event_timestamp, '
+        "seen_country AS country_name FROM latest"
+    )
 
 
 _BUYER = 'uid AS "user-id", product AS "product-id", value AS purchase_value'
@@ -525,6 +550,16 @@ _TOP_COUNTRIES_MATCHES = """
 SELECT seen_country AS country_name, count(*) AS total_matches FROM joined GROUP BY ALL"""
 _LOOK_BACK = "- INTERVAL 24 HOUR"
 
+
+def _counted(columns: str) -> str:
+    """One row per event and country, with the number of matching inits, at least 1."""
+    return f"""
+SELECT * EXCLUDE (event_id) FROM (
+  SELECT event_id, ms AS "time", {columns}, event_ts AS event_timestamp,
+         seen_country AS country_name, count(*) AS copies
+  FROM joined GROUP BY ALL)"""
+
+
 ORACLE: dict[str, str] = {
     "bronze_projection": _with(_BRONZE, _CLEAN),
     "bronze_projection_legacy": _with(
@@ -615,9 +650,9 @@ UNION ALL SELECT * FROM ({_DAILY.format(where="")}) WHERE event_date = '{DAY}'""
 SELECT cast(event_ts AS date) AS event_date, count(*) AS records FROM init GROUP BY ALL
 ORDER BY event_date DESC LIMIT 10"""
     ),
-    "enrich_purchases": _with(_enriched(_BUYER), _BUYERS),
-    "enrich_matches": _with(_enriched(_PLAYERS), _GAMES),
-    "enrich_purchases_latest": _with(_enriched(_BUYER, "latest"), _LATEST),
+    "enrich_purchases": _with(_counted(_BUYER), _BUYERS),
+    "enrich_matches": _with(_counted(_PLAYERS), _GAMES),
+    "enrich_purchases_latest": _with(_enriched(_BUYER), _LATEST),
     "minute_purchases": _with(_purchases(60)),
     "hourly_purchases": _with(_purchases(3600)),
     "minute_matches": _with(_matches(60)),
@@ -717,9 +752,9 @@ SELECT 'silver-init' AS "table", count(*) AS rows FROM init
 UNION ALL SELECT 'silver-match', count(*) FROM game
 UNION ALL SELECT 'silver-purchase', count(*) FROM purchase"""
     ),
-    "minute_purchases_stream": _with(_closed(_purchases(60), "distinct_users", "purchase")),
+    "minute_purchases_stream": _with(_closed(_purchases(60), "purchase")),
     "minute_matches_stream": _with(
-        _closed(_matches(60), "distinct_users_a, distinct_users_b", "game")
+        _closed(_matches(60), "game")
     ),
     "minute_revenue_by_product_stream": _with(
         f"""
@@ -727,14 +762,36 @@ SELECT * FROM ({_BY_PRODUCT})
 WHERE window_end <= (SELECT max(event_ts) FROM purchase) - INTERVAL 10 MINUTE"""
     ),
     "minute_purchases_by_country_stream": _with(
-        _closed(
-            _by_country(60, _REVENUE), "distinct_users", "purchase", "init", extra=_LOOK_BACK
-        ),
+        _closed(_by_country(60, _REVENUE), "purchase", "init", extra=_LOOK_BACK),
         _BUYERS,
     ),
     "minute_matches_by_country_stream": _with(
-        _closed(_by_country(60, _MATCHES), "distinct_users", "game", "init", extra=_LOOK_BACK),
+        _closed(_by_country(60, _MATCHES), "game", "init", extra=_LOOK_BACK),
         _GAMES,
     ),
     "late_data_stream": _with(_LATE_BODY, _LATE),
+    "stream_progress": _with(
+        """
+SELECT cast(count(*) AS bigint) AS input_rows, cast(0 AS bigint) AS late_rows,
+       true AS has_batches
+FROM purchase"""
+    ),
+    "silver_fan_out_init": _with(_silver("init")),
+    "silver_fan_out_match": _with(_silver("match")),
+    "silver_fan_out_purchase": _with(_silver("purchase")),
+    "publish_valid_stream": _with(
+        """
+SELECT topic, event_json AS value FROM payload
+WHERE event_id IN (SELECT event_id FROM checked WHERE violations = '')""",
+        _FAULTY,
+        _CHECKED,
+    ),
+    "daily_job": _with(
+        _DAILY.format(
+            where=f"WHERE cast(event_ts AS date) BETWEEN '{RANGE[0]}' AND '{RANGE[1]}'"
+        )
+    ),
+    "rule_mapping_large": _on_inits(
+        "CASE WHEN user_id < 400 THEN cast(user_id * 7 AS integer) END AS points"
+    ),
 }

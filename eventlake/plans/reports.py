@@ -12,6 +12,7 @@ from eventlake.sources.tables import DEFAULT_FORMAT, try_read_table
 
 log = logging.getLogger(__name__)
 
+# How many rows samples, rankings and window reports show.
 SAMPLE_ROWS = 10
 TOP_ROWS = 10
 WINDOW_ROWS = 20
@@ -83,7 +84,7 @@ def sample(df: DataFrame, columns: Iterable[str], n: int = SAMPLE_ROWS) -> DataF
     return df.select(*(F.col(f"`{name}`") for name in columns)).limit(n)
 
 
-# Columns shown in table samples.
+# Columns shown in table samples.
 SAMPLE_COLUMNS = {
     "bronze": ("kafka_topic", "kafka_timestamp", "ingestion_timestamp"),
     "silver-init": ("user-id", "platform", "country", "country_name", "processing_timestamp"),

@@ -65,12 +65,13 @@ def read_table_stream(
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for tables and checkpoints below ``spark.checkpoint.dir``.
 
-    Executors on other machines must see it, so a machine-local folder is used only
-    when Spark runs in local mode and the setting is absent.
+    Executors on all machines must see it. A session of Spark's local mode that lacks the
+    setting gets one: there driver and executors are one process.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="eventlake-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/eventlake/{name}-{uuid.uuid4().hex}"

@@ -6,11 +6,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from eventlake.functions.event_time import event_timestamp
 from eventlake.operators.attribution import WATERMARK_DELAY
 from eventlake.operators.bronze import to_bronze
+from eventlake.operators.daily import Day, daily_users, write_daily
 from eventlake.operators.minute import (
     WINDOW,
     minute_matches,
@@ -20,24 +22,34 @@ from eventlake.operators.minute import (
     minute_revenue_by_product,
 )
 from eventlake.operators.silver import to_silver
+from eventlake.operators.validity import observe_validity, route_topics, validate_events
 from eventlake.plans.event_types import EventType, default_event_types
 from eventlake.schemas import BRONZE_DDL
-from eventlake.sources.tables import DEFAULT_FORMAT, read_table_stream
+from eventlake.sources.kafka import kafka_sink_options
+from eventlake.sources.tables import DEFAULT_FORMAT, read_table, read_table_stream
 from eventlake.streaming.sinks import (
     append_stream,
     fan_out_stream,
     publish_stream,
     state_settings,
+    triggered,
 )
 from eventlake.streaming.supervise import start_all
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where tables and checkpoints live; executors must share ``root``."""
+    """Where tables and checkpoints live; executors must share ``root``.
+
+    ``by_day`` lays bronze and silver tables out in one folder per day of the message or
+    event, in a further column ``event_date``; late events go to their own day.
+    ``files_per_batch`` bounds the files that a micro-batch adds to each folder.
+    """
 
     root: str
     fmt: str = DEFAULT_FORMAT
+    by_day: bool = False
+    files_per_batch: int | None = None
 
     def table(self, name: str) -> str:
         layer, _, table = name.partition("-")
@@ -47,7 +59,19 @@ class Lake:
         return f"{self.root}/checkpoints/{name.replace('-', '_')}"
 
     def append(self, df: DataFrame, name: str, trigger: str) -> StreamingQuery:
-        return append_stream(df, self.table(name), self.checkpoint(name), trigger, self.fmt)
+        days: tuple[str, ...] = ()
+        if self.by_day and not name.startswith("gold"):
+            time = "kafka_timestamp" if name == "bronze" else event_timestamp()
+            df, days = df.withColumn("event_date", F.to_date(time)), ("event_date",)
+        return append_stream(
+            df,
+            self.table(name),
+            self.checkpoint(name),
+            trigger,
+            self.fmt,
+            partition_by=days,
+            files_per_batch=self.files_per_batch,
+        )
 
 
 @dataclass(frozen=True)
@@ -66,6 +90,42 @@ def run_bronze(
     return lake.append(transform(kafka), "bronze", trigger)
 
 
+def run_publish(
+    bronze: DataFrame,
+    lake: Lake,
+    trigger: str = "10 seconds",
+    servers: str | None = None,
+    topic: str | None = None,
+) -> StreamingQuery:
+    """The entry gate: validate raw payloads, route the valid ones to topics and publish them.
+
+    With ``servers`` they go to Kafka, else to the table ``published``. Each micro-batch's
+    counters are in the query progress as ``validity``: all, valid, invalid and untimed rows.
+    """
+    checked = observe_validity(validate_events(bronze), "validity")
+    routed = route_topics(checked.filter("is_valid"), topic=topic)
+    if not servers:
+        return append_stream(
+            routed, lake.table("published"), lake.checkpoint("published"), trigger, lake.fmt
+        )
+    options = kafka_sink_options(servers, None, lake.checkpoint("published"))
+    writer = routed.writeStream.format("kafka").outputMode("append").options(**options)
+    return triggered(writer, trigger).start()
+
+
+def run_daily(
+    spark: SparkSession,
+    lake: Lake,
+    first: Day | None = None,
+    last: Day | None = None,
+    overwrite: bool = True,
+) -> int:
+    """The daily batch: inits of one day (default yesterday) or a range to gold rows; returns their number."""
+    inits = read_table(spark, lake.table("silver-init"), lake.fmt)
+    daily = daily_users(inits, first, last)
+    return write_daily(daily, lake.table("gold-daily-users"), lake.fmt, overwrite)
+
+
 def run_silver(
     spark: SparkSession,
     lake: Lake,
@@ -102,14 +162,20 @@ def run_silver_fan_out(
     lake: Lake,
     trigger: str = "10 seconds",
     event_types: Sequence[EventType] | None = None,
+    kafka: KafkaTarget | None = None,
 ) -> StreamingQuery:
-    """All silver tables from one query that parses each bronze row once."""
+    """All silver tables from one query that parses each bronze row once.
+
+    Its file tables have two more folder columns; ``read_fan_out`` drops them.
+    """
     bronze = read_table_stream(spark, lake.table("bronze"), BRONZE_DDL, lake.fmt)
     targets = {
         lake.table(f"silver-{event_type.silver_table}"): event_type
         for event_type in event_types or default_event_types().values()
     }
-    return fan_out_stream(bronze, targets, lake.checkpoint("silver-fan-out"), trigger)
+    checkpoint = lake.checkpoint("silver-fan-out")
+    options = kafka and kafka_sink_options(kafka.servers, kafka.topic, checkpoint)
+    return fan_out_stream(bronze, targets, checkpoint, trigger, lake.fmt, options)
 
 
 def silver_schema(spark: SparkSession, event_type: EventType):
@@ -124,7 +190,6 @@ def run_gold(
     window: str = WINDOW,
     delay: str = WATERMARK_DELAY,
     state_partitions: int | None = None,
-    hot_users: Sequence[str] = (),
     max_files_per_trigger: int | None = None,
     only: Sequence[str] | None = None,
 ) -> list[StreamingQuery]:
@@ -145,9 +210,7 @@ def run_gold(
         )
 
     def by_country(function: Callable[..., DataFrame], table: str) -> DataFrame:
-        return function(
-            silver(table), silver("init"), window=window, delay=delay, hot_users=hot_users
-        )
+        return function(silver(table), silver("init"), window=window, delay=delay)
 
     tables: dict[str, Callable[[], DataFrame]] = {
         "minute-purchases": lambda: minute_purchases(silver("purchase"), window, delay),

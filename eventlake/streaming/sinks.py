@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,7 +19,7 @@ AVAILABLE_NOW = "available now"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _triggered(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:
+def triggered(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:
     if trigger == AVAILABLE_NOW:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=trigger)
@@ -29,8 +29,9 @@ def _triggered(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:
 def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Settings a stateful query copies when it starts.
 
-    State lives in RocksDB, off the heap, and commits upload only its changes. The number of state partitions is fixed by
-    the first start of a checkpoint; by default it is the session's shuffle setting.
+    State lives in RocksDB, off the heap, and commits upload only its changes. The number
+    of state partitions is fixed by the first start of a checkpoint; by default it is the
+    session's shuffle setting.
     """
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
@@ -58,11 +59,17 @@ def append_stream(
     trigger: str = "10 seconds",
     fmt: str = DEFAULT_FORMAT,
     name: str | None = None,
+    partition_by: Sequence[str] = (),
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append a stream to a table; with a checkpoint, each row lands exactly once.
 
     New columns are merged by table formats that support it; file tables merge on read.
+    ``partition_by`` lays the table out in folders. ``files_per_batch`` gathers a micro-batch
+    into so many files at most, in each folder if there are any, instead of one for each task.
     """
+    if files_per_batch:
+        df = df.repartition(files_per_batch)
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")
@@ -71,7 +78,9 @@ def append_stream(
     )
     if name:
         writer = writer.queryName(name)
-    return _triggered(writer, trigger).start(path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    return triggered(writer, trigger).start(path)
 
 
 def publish_stream(
@@ -91,24 +100,53 @@ def publish_stream(
         .outputMode("append")
         .options(**kafka_sink_options(servers, topic, f"{checkpoint}_kafka"))
     )
-    return _triggered(writer, trigger).start()
+    return triggered(writer, trigger).start()
+
+
+# Folders of a fan-out's file tables: the query that wrote them and its micro-batch.
+RUN_COLUMNS = ("_run", "_batch")
+_QUERY_ID = "sql.streaming.queryId"
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether an earlier attempt has finished writing this folder."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(marker)
 
 
 def batch_fan_out(
     targets: Mapping[str, EventType],
+    run: str | None = None,
+    fmt: str = DEFAULT_FORMAT,
+    kafka_options: Mapping[str, str] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body that parses a bronze batch once and writes every type.
 
-    Each batch replaces its own ``batch_id`` folder, so a batch that Spark repeats
-    after a failure leaves no duplicates.
+    A batch is known by the query's id, which lives as long as its checkpoint, and its
+    number. Delta tables skip a pair they have seen. File tables get a folder for each pair:
+    a new checkpoint never touches older folders, and a folder that an earlier attempt
+    finished is left as it is, so nobody reads its rows twice under new file names. ``run`` stands
+    in for the id outside a stream. Kafka gets rows of a repeated batch again.
     """
 
     def write(bronze: DataFrame, batch_id: int) -> None:
+        spark = bronze.sparkSession
+        name = run or spark.sparkContext.getLocalProperty(_QUERY_ID)
+        if not name:
+            raise ValueError("outside a stream a fan-out needs a run id")
         parsed = parse_events(bronze).filter(F.col("event-type").isNotNull()).persist()
         try:
             for path, event_type in targets.items():
                 rows = clean(parsed, event_type)
-                rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+                if fmt == "delta":
+                    marks = {"txnAppId": name, "txnVersion": str(batch_id), "mergeSchema": "true"}
+                    rows.write.format(fmt).options(**marks).mode("append").save(path)
+                else:
+                    folder = f"{path}/{RUN_COLUMNS[0]}={name}/{RUN_COLUMNS[1]}={batch_id}"
+                    if not _complete(spark, folder):
+                        rows.write.format(fmt).mode("overwrite").save(folder)
+                if kafka_options:
+                    to_kafka_value(rows).write.format("kafka").options(**kafka_options).save()
         finally:
             parsed.unpersist()
 
@@ -120,9 +158,15 @@ def fan_out_stream(
     targets: Mapping[str, EventType],
     checkpoint: str,
     trigger: str = "10 seconds",
+    fmt: str = DEFAULT_FORMAT,
+    kafka_options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """One query for all silver tables (path -> event type) instead of one per table."""
-    writer = bronze.writeStream.foreachBatch(batch_fan_out(targets)).option(
-        "checkpointLocation", checkpoint
-    )
-    return _triggered(writer, trigger).start()
+    body = batch_fan_out(targets, fmt=fmt, kafka_options=kafka_options)
+    writer = bronze.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return triggered(writer, trigger).start()
+
+
+def read_fan_out(df: DataFrame) -> DataFrame:
+    """A fan-out's table with the schema of the one-query-per-table form."""
+    return df.drop(*RUN_COLUMNS)

@@ -42,10 +42,14 @@ def await_any(queries: Sequence[StreamingQuery], poll_seconds: float = 1.0) -> N
         stop_all(queries)
 
 
-def await_all(queries: Sequence[StreamingQuery]) -> None:
-    """Block until all queries end (available-now runs); the first error stops the rest."""
+def await_all(queries: Sequence[StreamingQuery], poll_seconds: float = 0.2) -> None:
+    """Block until all queries end (available-now runs); the first error stops the rest.
+
+    Watches every query: a failure of any is raised while others still run.
+    """
+    waiting = list(queries)
     try:
-        for query in queries:
-            query.awaitTermination()
+        while waiting:
+            waiting = [query for query in waiting if not query.awaitTermination(poll_seconds)]
     finally:
         stop_all(queries)

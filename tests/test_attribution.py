@@ -11,7 +11,6 @@ from eventlake.operators.attribution import (
     LOOKBACK_SECONDS as DAY,
     enrich,
     enrich_latest,
-    heavy_keys,
     init_multiplicity,
 )
 from eventlake.operators.minute import minute_matches_by_country, minute_purchases_by_country
@@ -36,7 +35,11 @@ def inits(spark, rows):
 
 
 def countries(df):
-    return Counter((row["purchase_value"], row["country_name"]) for row in df.collect())
+    found = Counter()
+    for row in df.collect():
+        assert (row["purchase_value"], row["country_name"]) not in found
+        found[row["purchase_value"], row["country_name"]] = row["copies"]
+    return found
 
 
 def brute_force(event_rows, init_rows, lookback=DAY):
@@ -146,6 +149,13 @@ def test_batch_plan_forms_no_pairs(spark):
     assert "Join" not in text and "CartesianProduct" not in text
 
 
+def test_enriched_rows_are_not_repeated(spark):
+    left = events(spark, [("hot", NOON, 1)])
+    df = enrich(left, inits(spark, [("hot", NOON - i, "US") for i in range(500)]))
+    assert "sequence" not in plan(df)
+    assert countries(df) == {(1.0, "US"): 500}
+
+
 def test_both_sides(spark):
     matches = spark.createDataFrame(
         [("a", "b", NOON * 1000)], "`user-a` string, `user-b` string, time bigint"
@@ -158,9 +168,3 @@ def test_both_sides(spark):
 
     assert counts() == {"US": 1}
     assert counts(sides=("user-a", "user-b")) == {"US": 1, "UK": 2}
-
-
-def test_heavy_keys(spark):
-    df = inits(spark, [("hot", 1, "US")] * 50 + [(f"u{i}", 1, "US") for i in range(50)])
-    assert heavy_keys(df, "user-id", 0.3) == ["hot"]
-    assert heavy_keys(df, "user-id", 0.6) == []

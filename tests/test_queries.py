@@ -7,8 +7,8 @@ from compare import differences, duckdb_tables
 
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SF_DIR
-
-ORACLE = oracle_sql()
+from eventlake.plans.oracle import ORACLE
+from eventlake.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,9 +16,10 @@ def duck():
     return duckdb_tables(SF_DIR)
 
 
-def test_every_query_has_sql_but_the_metrics():
-    assert set(queries()) - set(ORACLE) == {"stream_progress"}
-    assert set(ORACLE) <= set(queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
@@ -29,10 +30,4 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_matches_sql(spark, duck, sf_dir, name):
-    assert differences(queries()[name](spark, sf_dir), duck, ORACLE[name]) is None
-
-
-def test_stream_progress(spark, sf_dir):
-    rows = queries()["stream_progress"](spark, sf_dir).collect()
-    assert sum(row["input_rows"] for row in rows) > 0
-    assert {row["late_rows_dropped"] for row in rows} == {0}
+    assert differences(QUERIES[name](spark, sf_dir), duck, ORACLE[name]) is None

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from eventlake.plans import medallion, reports
-from eventlake.sources.event_feed import kafka_rows, read_events
+from eventlake.plans.event_feed import kafka_rows, read_events
 from eventlake.sources.tables import scratch_dir
 
 

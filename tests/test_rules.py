@@ -43,7 +43,7 @@ def test_uppercase(spark):
     assert column_of(df, "p") == ["ANDROID", "IOS", None]
 
 
-@pytest.mark.parametrize("size", [2, 60])
+@pytest.mark.parametrize("size", [2, 50, 51])
 @pytest.mark.parametrize(
     "field,default,expected",
     [
@@ -55,14 +55,43 @@ def test_uppercase(spark):
     ],
 )
 def test_mapping(spark, size, field, default, expected):
-    """A CASE expression and, for many entries, a join give the same result."""
+    """The number of entries changes nothing."""
     entries = NAMES | {f"X{i}": f"Country {i}" for i in range(size - 2)}
     step = mapping(field, source_field="country", mapping=entries, default=default)
     df = apply(spark, ["US", "ZZ", None], step)
     assert sorted(map(str, column_of(df, field))) == sorted(map(str, expected))
 
 
-@pytest.mark.parametrize("size", [2, 60])
+@pytest.mark.parametrize("size", [2, 50, 51, 100_001])
+def test_mapping_has_one_type_at_every_size(spark, size):
+    entries = {"US": 7} | {f"X{i}": i for i in range(size - 1)}
+    df = apply(spark, ["US", "ZZ", "X0"], mapping("n", source_field="country", mapping=entries))
+    assert dict(df.dtypes)["n"] == "int"
+    assert column_of(df, "n") == [7, None, 0]
+
+
+@pytest.mark.parametrize(
+    "values,kind",
+    [
+        ([1, 2.5], "double"),
+        ([1 << 40], "bigint"),
+        ([True, False], "boolean"),
+        ([1, "a"], "string"),
+        ([True, 1], "string"),
+        ([None], "string"),
+    ],
+)
+def test_mapping_types(spark, values, kind):
+    step = mapping("n", source_field="country", mapping=dict(enumerate(values)))
+    assert dict(apply(spark, ["0"], step).dtypes)["n"] == kind
+
+
+def test_mapping_in_place_keeps_text(spark):
+    df = apply(spark, ["US", "ZZ"], mapping("country", mapping={"US": 1}))
+    assert column_of(df, "country") == ["1", "ZZ"]
+
+
+@pytest.mark.parametrize("size", [50, 51])
 def test_mapping_to_null_is_not_a_missing_entry(spark, size):
     entries = {"US": None} | {f"X{i}": "x" for i in range(size - 1)}
     df = apply(spark, ["US", "ZZ"], mapping("n", source_field="country", mapping=entries, default="D"))

@@ -6,13 +6,18 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from conftest import plan
+from eventlake import __main__ as command
+from eventlake.functions.event_time import event_date
 from eventlake.operators import attribution, minute
 from eventlake.operators.bronze import to_bronze_legacy, with_constant
+from eventlake.operators.daily import init_on_days
 from eventlake.plans.event_types import default_event_types
-from eventlake.sources.event_feed import kafka_rows, read_events, stream_events
+from eventlake.plans.event_feed import kafka_rows, read_events, stream_events
+from eventlake.schemas import BRONZE_DDL
 from eventlake.sources.tables import read_table, read_table_stream, scratch_dir
 from eventlake.streaming import jobs, sinks, supervise
-from eventlake.streaming.progress import ProgressLog, recent_progress
+from eventlake.streaming.progress import logged_progress, recent_progress
 from eventlake.streaming.sinks import AVAILABLE_NOW
 
 PURCHASE = "time bigint, `user-id` string, purchase_value double"
@@ -87,8 +92,7 @@ def test_result_does_not_depend_on_the_split(spark, seed):
             spark, lake.table("silver-purchase"), max_files_per_trigger=1
         )
         inits = read_table_stream(spark, lake.table("silver-init"), max_files_per_trigger=1)
-        hot = ["a"] if bounds else []
-        gold = minute.minute_purchases_by_country(purchases, inits, hot_users=hot)
+        gold = minute.minute_purchases_by_country(purchases, inits)
         run(gold, lake, "gold-by-country")
         rows = read_table(spark, lake.table("gold-by-country")).drop("aggregation_timestamp")
         results.append(sorted(map(str, rows.collect())))
@@ -118,7 +122,8 @@ def test_pipeline_and_fan_out_agree(spark, sf_dir, lake):
     )
     for name in kinds:
         expected = read_table(spark, lake.table(f"silver-{name}"))
-        actual = read_table(spark, other.table(f"silver-{name}")).drop("batch_id")
+        actual = sinks.read_fan_out(read_table(spark, other.table(f"silver-{name}")))
+        assert actual.dtypes == expected.dtypes
         assert len(actual.columns) == {"init": 18, "match": 27, "purchase": 18}[name]
         drop = ("ingestion_timestamp", "processing_timestamp")
         assert actual.drop(*drop).exceptAll(expected.drop(*drop)).isEmpty()
@@ -132,11 +137,41 @@ def test_repeated_batch_leaves_no_duplicates(spark, sf_dir, lake):
     from eventlake.operators.bronze import to_bronze
 
     bronze = to_bronze(kafka_rows(read_events(spark, sf_dir)))
-    write = sinks.batch_fan_out({lake.table("silver-init"): default_event_types()["init"]})
+    table = lake.table("silver-init")
+    write = sinks.batch_fan_out({table: default_event_types()["init"]}, run="first")
     write(bronze, 0)
-    once = read_table(spark, lake.table("silver-init")).count()
+    once = read_table(spark, table).count()
+
+    def downstream():
+        copied = read_table_stream(spark, table)
+        run(copied, lake, "gold-copied")
+        return read_table(spark, lake.table("gold-copied")).count()
+
+    assert downstream() == once > 0
     write(bronze, 0)
-    assert read_table(spark, lake.table("silver-init")).count() == once > 0
+    assert read_table(spark, table).count() == downstream() == once
+
+
+def test_a_new_checkpoint_keeps_older_rows(spark, lake):
+    def bronze(*offsets):
+        data = [
+            (f'{{"event-type":"init","time":{n},"user-id":"u"}}', None, None, "t", 0, n)
+            for n in offsets
+        ]
+        spark.createDataFrame(data, BRONZE_DDL).write.mode("append").parquet(lake.table("bronze"))
+        return read_table_stream(spark, lake.table("bronze"), BRONZE_DDL)
+
+    targets = {lake.table("silver-init"): default_event_types()["init"]}
+
+    def fan_out(source, checkpoint):
+        path = lake.checkpoint(checkpoint)
+        supervise.await_all([sinks.fan_out_stream(source, targets, path, AVAILABLE_NOW)])
+        rows = read_table(spark, lake.table("silver-init")).select("time").collect()
+        return sorted(row["time"] for row in rows)
+
+    assert fan_out(bronze(1, 2), "one") == [1, 2]
+    assert fan_out(bronze(3), "one") == [1, 2, 3]
+    assert fan_out(bronze(4), "two") == [1, 1, 2, 2, 3, 3, 4]
 
 
 def test_custom_transform_hook(spark, sf_dir, lake):
@@ -192,31 +227,146 @@ def test_state_settings_are_restored(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
-def test_progress_listener(spark, lake):
-    log = ProgressLog()
-    spark.streams.addListener(log)
-    try:
-        add(spark, lake.table("silver-purchase"), [0, 1])
-        stream = read_table_stream(spark, lake.table("silver-purchase"), PURCHASE)
-        run(stream, lake, "gold-copy", name="copy")
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    finally:
-        spark.streams.removeListener(log)
-    assert ("copy", 2) in [(row[1], row[4]) for row in log.rows]
-
-
-def test_salted_join_spreads_a_hot_user(spark, lake):
-    """Salting changes where rows are joined, not what is joined."""
-    add(spark, lake.table("silver-purchase"), range(0, 40), "ab")
-    rows = [((BASE + s) * 1000, "a", "US") for s in (0, 5)]
-    spark.createDataFrame(rows, "time bigint, `user-id` string, country_name string").write.parquet(
-        lake.table("silver-init")
+def test_no_micro_batch_is_lost(spark, lake):
+    """More micro-batches than Spark remembers."""
+    source, log = lake.table("silver-purchase"), lake.table("progress")
+    rows = [((BASE + s) * 1000, "u", 1.0) for s in range(110)]
+    spark.createDataFrame(rows, PURCHASE).repartition(110).write.parquet(source)
+    files = len(read_table(spark, source).inputFiles())
+    stream = read_table_stream(spark, source, PURCHASE, max_files_per_trigger=1)
+    with logged_progress(spark, log):
+        query = run(stream, lake, "gold-copy", name="copy")
+    found = read_table(spark, log).filter("name = 'copy' and input_rows > 0")
+    assert found.count() == files > 100 >= len(query.recentProgress)
+    assert found.agg(F.sum("input_rows")).first()[0] == 110
+
+
+def test_failures_are_logged(spark, lake):
+    df = spark.readStream.format("rate").load()
+    failing = df.select(F.raise_error(F.lit("broken on purpose")).alias("x"), "value")
+    with logged_progress(spark, lake.table("progress")) as log:
+        query = sinks.append_stream(failing, lake.table("gold-bad"), lake.checkpoint("gold-bad"), "1 second")
+        with pytest.raises(StreamingQueryException):
+            supervise.await_all([query])
+    [row] = read_table(spark, log.failures).collect()
+    assert row["query_id"] == str(query.id) and "broken on purpose" in row["error"]
+
+
+def test_a_failure_is_seen_while_others_run(spark, lake):
+    healthy = spark.readStream.format("rate").load()
+    failing = healthy.select(F.raise_error(F.lit("broken on purpose")).alias("x"), "value")
+    queries = [
+        sinks.append_stream(df, lake.table(name), lake.checkpoint(name), "1 second")
+        for name, df in (("gold-ok", healthy), ("gold-bad", failing))
+    ]
+    with pytest.raises(StreamingQueryException):
+        supervise.await_all(queries)
+    assert not any(query.isActive for query in queries)
+
+
+def test_tables_by_day(spark, sf_dir):
+    lake = jobs.Lake(scratch_dir(spark, "by-day"), by_day=True, files_per_batch=1)
+    supervise.await_all([jobs.run_bronze(kafka_rows(stream_events(spark, sf_dir)), lake, AVAILABLE_NOW)])
+    supervise.await_all(
+        jobs.run_silver(spark, lake, AVAILABLE_NOW, [default_event_types()["init"]])
+    )
+    silver = read_table(spark, lake.table("silver-init"))
+    days = silver.select("event_date").distinct().count()
+    assert len(silver.inputFiles()) == days > 1
+    own = event_date() != F.col("event_date")
+    assert silver.filter(own).isEmpty()
+    text = plan(init_on_days(silver, "2024-01-15"))
+    filters = next(line for line in text.splitlines() if "PartitionFilters" in line)
+    assert "event_date" in filters
+    assert jobs.run_daily(spark, lake, "2024-01-15") > 0
+    first = read_table(spark, lake.table("gold-daily-users")).count()
+    assert jobs.run_daily(spark, lake, "2024-01-15") == first
+    assert read_table(spark, lake.table("gold-daily-users")).count() == first
+
+
+def test_published_rows_are_counted(spark, lake):
+    source = lake.table("raw")
+    good = '{"event-type":"in-app-purchase","time":%d,"purchase_value":1.5,"user-id":"u","product-id":"p"}'
+    payloads = [good % 5, good % (1 << 62), "{bad", good.replace("1.5", "-1") % 5]
+    payloads.append((good % 5).replace('"user-id":"u"', '"user-id":-3,"user-id":"v"'))
+    spark.createDataFrame([(p,) for p in payloads], "event_json string").coalesce(1).write.parquet(source)
+    query = jobs.run_publish(read_table_stream(spark, source), lake, AVAILABLE_NOW)
+    supervise.await_all([query])
+    published = [row["value"] for row in read_table(spark, lake.table("published")).collect()]
+    assert sorted(published) == sorted([payloads[0], payloads[1], payloads[4]])
+    seen = [p.observedMetrics["validity"] for p in query.recentProgress if p.numInputRows]
+    assert [tuple(row) for row in seen] == [(5, 3, 2, 1)]
+
+
+def test_command_line(spark, sf_dir, tmp_path, capsys):
+    lake = jobs.Lake(str(tmp_path))
+    supervise.await_all([jobs.run_bronze(kafka_rows(stream_events(spark, sf_dir)), lake, AVAILABLE_NOW)])
+    common = ["--lake", lake.root, "--trigger", AVAILABLE_NOW]
+    command.run(spark, ["silver", *common])
+    command.run(spark, ["gold", *common, "--tables", "minute-purchases"])
+    command.run(spark, ["daily", *common, "--first", "2024-01-15"])
+    command.run(spark, ["report", *common, "--tables", "gold-daily-users"])
+    shown = capsys.readouterr().out
+    assert "daily rows written" in shown and "distinct_users" in shown
+    with pytest.raises(SystemExit):
+        command.run(spark, ["bronze", *common])
+
+
+INIT = "time bigint, `user-id` string, country_name string"
+
+
+def add_inits(spark, lake, rows):
+    data = [((BASE + s) * 1000, user, country) for s, user, country in rows]
+    df = spark.createDataFrame(data, INIT).coalesce(1)
+    df.write.mode("append").parquet(lake.table("silver-init"))
+
+
+def by_country(spark, lake):
+    purchases = read_table_stream(spark, lake.table("silver-purchase"), PURCHASE)
+    inits = read_table_stream(spark, lake.table("silver-init"), INIT)
+    return run(minute.minute_purchases_by_country(purchases, inits), lake, "gold-by-country")
+
+
+def test_a_user_turning_hot_between_runs_keeps_its_matches(spark, lake):
+    add_inits(spark, lake, [(0, "a", "US"), (5, "b", "UK")])
+    add(spark, lake.table("silver-purchase"), [10])
+    by_country(spark, lake)
+    add(spark, lake.table("silver-purchase"), [3600 + s for s in range(8)], "a")
+    add_inits(spark, lake, [(3700, "b", "UK")])
+    by_country(spark, lake)
+    add(spark, lake.table("silver-purchase"), [100 * 3600], "z")
+    add_inits(spark, lake, [(100 * 3600, "z", "DE")])
+    by_country(spark, lake)
+    gold = read_table(spark, lake.table("gold-by-country")).collect()
+    found = {(row["country_name"], row["purchase_count"]) for row in gold}
+    assert found == {(None, 1), ("US", 8)}
+
+
+def test_state_of_a_hot_user_grows_with_seconds(spark, lake):
+    add_inits(spark, lake, [(s % 20, "hot", "US") for s in range(1000)])
+    add(spark, lake.table("silver-purchase"), [s % 20 for s in range(500)], ("hot",))
+    query = by_country(spark, lake)
+    most = max(sum(o.numRowsTotal for o in p.stateOperators) for p in query.recentProgress)
+    assert most <= 3 * 2 * 20 + 60
+    for table, rows in (("silver-purchase", PURCHASE), ("silver-init", INIT)):
+        last = [((BASE + 100 * 3600) * 1000, "z", 1.0 if rows is PURCHASE else "DE")]
+        spark.createDataFrame(last, rows).write.mode("append").parquet(lake.table(table))
+    by_country(spark, lake)
+    [row] = read_table(spark, lake.table("gold-by-country")).collect()
+    assert (row["purchase_count"], row["distinct_users"]) == (262_500, 1)
+
+
+def test_enriched_stream_adds_up_to_the_batch(spark, lake):
+    add_inits(spark, lake, [(0, "a", "US"), (0, "a", "US"), (5, "a", "US"), (7, "a", "UK")])
+    add(spark, lake.table("silver-purchase"), [6, 8, 200 * 3600], "ab")
+    add_inits(spark, lake, [(200 * 3600, "z", "DE")])
+    purchases, inits = lake.table("silver-purchase"), lake.table("silver-init")
+    streamed = attribution.enrich(
+        read_table_stream(spark, purchases, PURCHASE), read_table_stream(spark, inits, INIT)
     )
-    purchases = read_table(spark, lake.table("silver-purchase"))
-    inits = read_table(spark, lake.table("silver-init"))
-    plain = attribution.interval_join(purchases, inits)
-    salted = attribution.interval_join(purchases, inits, hot_users=["a"], salts=4)
-    batch = attribution.enrich(purchases, inits)
-    expected = sorted(map(str, batch.select(plain.columns).collect()))
-    assert sorted(map(str, plain.collect())) == expected
-    assert sorted(map(str, salted.collect())) == expected
+    run(streamed, lake, "gold-enriched")
+    keys = ("time", "user-id", "country_name")
+    found = read_table(spark, lake.table("gold-enriched")).groupBy(*keys).agg(F.sum("copies").alias("copies"))
+    batch = attribution.enrich(read_table(spark, purchases), read_table(spark, inits))
+    expected = batch.filter(F.col("time") < (BASE + 1000) * 1000).select(*keys, "copies")
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
