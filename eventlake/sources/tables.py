@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import tempfile
 import uuid
 
@@ -68,10 +69,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     Executors on all machines must see it. A session of Spark's local mode that lacks the
     setting gets one: there driver and executors are one process.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="eventlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/eventlake/{name}-{uuid.uuid4().hex}"

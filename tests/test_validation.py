@@ -151,7 +151,7 @@ def test_summary_and_observed_counters(spark):
     assert rows == {"init": (2, 1, 1), None: (1, 0, 1)}
     counters = Observation()
     observe_validity(validated, counters).collect()
-    assert counters.get == {"generated": 3, "valid": 1, "invalid": 2}
+    assert counters.get == {"generated": 3, "valid": 1, "invalid": 2, "untimed": 0}
 
 
 @pytest.mark.parametrize(
