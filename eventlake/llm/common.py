@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -32,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not context.master.startswith("local["):
+            if not re.match(r"local(\[|$)", context.master):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="llm-")
         context.setCheckpointDir(folder)

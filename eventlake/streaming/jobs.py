@@ -134,14 +134,22 @@ def run_silver(
     kafka: KafkaTarget | None = None,
     max_files_per_trigger: int | None = None,
 ) -> list[StreamingQuery]:
-    """One query per event type and sink."""
+    """One query per event type and sink.
+
+    The progress counts each table's rows, and those whose time no window or day can hold, as
+    ``silver``.
+    """
     bronze = read_table_stream(
         spark, lake.table("bronze"), BRONZE_DDL, lake.fmt, max_files_per_trigger
     )
     starters: list[Callable[[], StreamingQuery | None]] = []
     for event_type in event_types or default_event_types().values():
         name = f"silver-{event_type.silver_table}"
-        silver = to_silver(bronze, event_type)
+        silver = to_silver(bronze, event_type).observe(
+            "silver",
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(event_timestamp().isNull()).alias("untimed"),
+        )
         starters.append(partial(lake.append, silver, name, trigger))
         if kafka:
             starters.append(

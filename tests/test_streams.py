@@ -231,7 +231,8 @@ def test_no_micro_batch_is_lost(spark, lake):
     """More micro-batches than Spark remembers."""
     source, log = lake.table("silver-purchase"), lake.table("progress")
     rows = [((BASE + s) * 1000, "u", 1.0) for s in range(110)]
-    spark.createDataFrame(rows, PURCHASE).repartition(110).write.parquet(source)
+    one_each = spark.createDataFrame(rows, PURCHASE).write.option("maxRecordsPerFile", 1)
+    one_each.parquet(source)
     files = len(read_table(spark, source).inputFiles())
     stream = read_table_stream(spark, source, PURCHASE, max_files_per_trigger=1)
     with logged_progress(spark, log):
