@@ -181,7 +181,9 @@ def _deal(spread: DataFrame, sizes: DataFrame, kind: str, radius: int) -> DataFr
 
 def _dealt(prints: DataFrame) -> DataFrame:
     """Spread anew: a row becomes many, and small partitions have been merged before."""
-    return prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fingerprint")
+    # By a hash, as dealing by the column itself would be found done already and left out.
+    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return prints.repartition(n, F.xxhash64("fingerprint"))
 
 
 def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
