@@ -75,16 +75,16 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_mih": op1_mih,
+    "op2_norm_topk": op2_norm_topk,
+    "op3_language": op3_language,
     "op4_licenses": op4_licenses,
-    "op9_token_counts": op9_token_counts,
-    "op7_sentencepiece": op7_sentencepiece,
     "op5_quality": op5_quality,
-    "op10_urls": op10_urls,
-    "op3_language": op3_language,
     "op6_mix": op6_mix,
-    "op2_norm_topk": op2_norm_topk,
-    "op1_mih": op1_mih,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_simhash": op8_simhash,
+    "op9_token_counts": op9_token_counts,
+    "op10_urls": op10_urls,
 }
 
 #: SQL for the queries it can express.
