@@ -136,8 +136,9 @@ def hash_slot(*columns: Column) -> Column:
 def sample_texts(rows: DataFrame, wanted: int) -> dict[str, list[bytes]]:
     """Whole texts of (label, text) by label, about ``wanted`` bytes of each, by hash of the text.
 
-    The sample stays of this size as the table grows, and only it comes to the driver.
-    Nulls, empty texts and single texts above ``wanted`` are never in it.
+    The sample stays of this size as the table grows, and only it comes to the driver. A text
+    that repeats under a label is taken once. Nulls, empty texts and single texts above ``wanted``
+    are never in it.
     """
     size = F.octet_length("text")
     rows = rows.filter(F.col("label").isNotNull() & size.between(1, wanted))
@@ -147,6 +148,6 @@ def sample_texts(rows: DataFrame, wanted: int) -> dict[str, list[bytes]]:
     shares = [x for r in totals for x in (F.lit(r["label"]), F.lit(sampled_share(r["n"], wanted)))]
     taken = hash_slot(F.col("text")) < F.element_at(F.create_map(*shares), F.col("label"))
     found: dict[str, list[bytes]] = {}
-    for label, text in rows.filter(taken).select("label", "text").collect():
+    for label, text in rows.filter(taken).select("label", "text").distinct().collect():
         found.setdefault(label, []).append(text.encode())
-    return found
+    return {label: sorted(texts) for label, texts in found.items()}

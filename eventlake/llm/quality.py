@@ -206,7 +206,7 @@ def learn(
     """Word vectors from all texts; the network from the labelled rows whose crc32 modulo 5 isn't 0.
 
     Of these about ``FIT_ROWS`` are taken by hash of the key at every size of the table.
-    Only labels 0 and 1 count; of several labels of a key, the largest.
+    Only labels 0 and 1 count; of several labels of a key, the largest, of several texts the smallest.
     """
     tables = np.concatenate([word_vectors(docs, text), index_vectors()], axis=1)
     known = labels.filter(F.col(label).isin(0, 1) & (remainder(key, 5) != 0))
@@ -215,13 +215,15 @@ def learn(
     # About FIT_ROWS rows of two numbers, whatever the size of the tables.
     few = known.filter(slot < sampled_share(known.count(), FIT_ROWS))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(few), "key")
-    rows = rows.select((F.pmod(slot, F.lit(5)) == 0).alias("calibrate"), "label", "text")
+    rows = rows.groupBy("key", "label").agg(F.min("text").alias("text"))
+    rows = rows.withColumn("calibrate", F.pmod(slot, F.lit(5)) == 0)
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def run(texts: list[bytes | None]) -> dict[str, pa.Array]:
         return {"x": pa.array(list(features(texts, shared.value)))}
 
     found = map_blocks(rows, "text", run, "x array<double>").drop("text").toPandas()
+    found = found.sort_values("key")
     x = np.stack(found["x"].to_numpy()) if len(found) else np.zeros((0, _FEATURES))
     return Scorer(tables, fit(x, found["label"].to_numpy(float), found["calibrate"].to_numpy(bool)))
 
