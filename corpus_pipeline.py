@@ -44,7 +44,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group alike in five-word shingles to about 0.8: the smallest doc_id, null last.
+    """One document of each group with a Jaccard similarity of 0.8 in five-word shingles: the smallest doc_id, null last.
 
     Rows are told apart by number, so repeated ids and null ids are documents like any other.
     """

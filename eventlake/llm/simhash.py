@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from itertools import product
-from math import acos, pi
+from math import acos, ceil, comb, log, pi
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,10 @@ WIDE_TILE_ROWS = 1 << 15
 WIDE_BYTES = 64
 #: Numbers of shingles in one tile differ by less than this factor, one by the similarity.
 SIZE_STEP = 1.25
+#: Deviations that the radius of wide fingerprints leaves above the mean: about one pair in 10 ** 9 lies beyond.
+DEVIATIONS = 6
+#: From this many shingles on, the radius no longer depends on their number.
+_LARGE = 100
 _CHUNK = 1 << 16
 _WIDTH = 64 // PARTS
 
@@ -93,24 +97,22 @@ class Forest:
         return keep.tolist()
 
 
+def _edges(*columns: np.ndarray) -> list[int]:
+    """Starts of the runs of equal values, and the end."""
+    change = np.any([np.diff(c) != 0 for c in columns], axis=0)
+    return [0, *(np.flatnonzero(change) + 1).tolist(), len(columns[0])]
+
+
 def _links_in_tiles(radius: int):
     """Function over rows (tile, chunk, guest, fingerprint) sorted in this order, owners first.
 
-    A fingerprint is a long, or bytes whose first eight are compared beforehand: they must differ in
-    at most ``_first_radius`` bits. Tasks hold the owners of one tile's chunk and a batch of rows.
+    Tasks hold the owners of one tile's chunk and a batch of rows.
     """
 
-    def distinct(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        near = np.bitwise_count(a[:, None, 0] ^ b[None, :, 0]) <= _first_radius(radius, a.shape[1])
-        if a.shape[1] > 1:
-            x, y = np.nonzero(near)
-            near[x, y] = np.bitwise_count(a[x] ^ b[y]).sum(axis=1) <= radius
-        return near
-
     def compare(owners: np.ndarray, rows: np.ndarray, forest: Forest, place: int | None) -> list[tuple[int, int]]:
         found, step = [], max(1, (1 << 21) // max(1, len(owners)))
         for i in range(0, len(rows), step):
-            near = distinct(owners, rows[i : i + step])
+            near = np.bitwise_count(owners[:, None] ^ rows[None, i : i + step]) <= radius
             for j in np.flatnonzero(near.any(axis=0)).tolist():
                 own = None if place is None else place + i + j
                 found += ((k, i + j) for k in forest.links(np.flatnonzero(near[:, j]), own))
@@ -120,15 +122,8 @@ def _links_in_tiles(radius: int):
         key, owners, forest = None, None, None
         for batch in batches:
             tile, chunk, guest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            column, width = batch.column(3), 1
-            if pa.types.is_integer(column.type):
-                prints = column.to_numpy().view(np.uint64)[:, None]
-            else:
-                parts = column.to_pylist()
-                width = len(parts[0]) // 8 if parts else 1
-                prints = np.frombuffer(b"".join(parts), np.uint64).reshape(-1, width)
-            change = (np.diff(tile) != 0) | (np.diff(chunk) != 0) | (np.diff(guest) != 0)
-            edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+            prints = batch.column(3).to_numpy().view(np.uint64)
+            edges = _edges(tile, chunk, guest)
             links: list[np.ndarray] = []
             for start, end in zip(edges, edges[1:]):
                 if end == start:
@@ -143,25 +138,15 @@ def _links_in_tiles(radius: int):
                     forest.label = np.concatenate([forest.label, np.arange(place, len(owners))])
                 links += (np.stack([owners[k], rows[j]]) for k, j in compare(owners, rows, forest, place))
             if links:
-                both = np.stack(links)
-                ends = [np.ascontiguousarray(both[:, i]) for i in (0, 1)]
-                if pa.types.is_integer(column.type):
-                    made = [pa.array(e[:, 0].view(np.int64)) for e in ends]
-                else:
-                    made = [pa.array([row.tobytes() for row in e], pa.binary()) for e in ends]
-                yield pa.RecordBatch.from_arrays(made, names=["u", "v"])
+                both = np.stack(links).view(np.int64)
+                ends = [pa.array(np.ascontiguousarray(both[:, i])) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays(ends, names=["u", "v"])
 
     return run
 
 
-def _first_radius(radius: int, width: int) -> int:
-    """Bits in which the first of ``width`` words may differ: three deviations above its share."""
-    share = radius / (64 * width)
-    return radius if width == 1 else int(64 * share + 3 * (64 * share * (1 - share)) ** 0.5) + 1
-
-
-def _deal(spread: DataFrame, sizes: DataFrame, kind: str, radius: int) -> DataFrame:
-    """Links of (fingerprint, home, tile) rows, where ``home`` is the fingerprint's own tile.
+def _deal(spread: DataFrame, sizes: DataFrame, kind: str, kernel, *more: str) -> DataFrame:
+    """What ``kernel`` links of (fingerprint, home, tile) rows, where ``home`` is the fingerprint's own tile.
 
     ``sizes`` has the chunks of each tile that has owners; its size is bounded. Owners visit
     the later chunks of their own tile, other fingerprints all chunks of the tile.
@@ -173,10 +158,10 @@ def _deal(spread: DataFrame, sizes: DataFrame, kind: str, radius: int) -> DataFr
         .withColumn("first", first)
         .withColumn("chunk", F.explode(F.sequence("first", F.col("chunks") - 1)))
         .withColumn("guest", ((F.col("tile") != F.col("home")) | (F.col("chunk") != F.col("first"))).cast("int"))
-        .select("tile", "chunk", "guest", "fingerprint")
+        .select("tile", "chunk", "guest", "fingerprint", *more)
     )
     work = work.repartition("tile", "chunk").sortWithinPartitions("tile", "chunk", "guest")
-    return map_batches(work, _links_in_tiles(radius), f"u {kind}, v {kind}")
+    return map_batches(work, kernel, f"u {kind}, v {kind}")
 
 
 def _dealt(prints: DataFrame) -> DataFrame:
@@ -210,56 +195,146 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     sizes = base.groupBy(_tile(home).alias("tile")).agg(
         F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("chunks")
     )
-    return _deal(spread, sizes, "bigint", radius)
+    return _deal(spread, sizes, "bigint", _links_in_tiles(radius))
 
 
-def wide_fingerprint(text: bytes, words: int) -> tuple[bytes, int]:
-    """A fingerprint of ``WIDE_BYTES`` over distinct shingles, and how many these are."""
+def _shingles(text: bytes, words: int) -> Iterator[set[bytes]]:
+    """The distinct shingles of each part of a text; a shingle can come in several parts."""
     found = text.lower().split()
-    if not found:
-        return bytes(WIDE_BYTES), 0
-    hashes = []
-    digest, join = xxhash.xxh3_128_digest, b" ".join
-    for i in range(0, max(1, len(found) - words + 1), _CHUNK):
+    for i in range(0, max(1, len(found) - words + 1) if found else 0, _CHUNK):
         part = found[i : i + _CHUNK + words - 1]
-        lines = set(map(join, zip(*(part[k:] for k in range(words))))) if len(part) >= words else {join(part)}
-        hashes.append(b"".join([digest(line, seed) for line in lines for seed in range(SEED, SEED + WIDE_BYTES // 16)]))
-    rows = np.frombuffer(b"".join(hashes), f"V{WIDE_BYTES}")
-    if len(hashes) > 1:
-        rows = np.unique(rows)
+        yield set(map(b" ".join, zip(*(part[k:] for k in range(words))))) if len(part) >= words else {b" ".join(part)}
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct shingles."""
+    digest = xxhash.xxh3_64_digest
+    hashes = b"".join([digest(line, SEED) for lines in _shingles(text, words) for line in lines])
+    return np.unique(np.frombuffer(hashes, ">i8").astype(np.int64))
+
+
+def wide_fingerprint(text: bytes, words: int) -> tuple[bytes, int]:
+    """A fingerprint of ``WIDE_BYTES`` over distinct shingles and 16 bytes of the set's own, and the set's size.
+
+    So texts have equal results only if their sets of shingles are equal.
+    """
+    digest, seeds = xxhash.xxh3_128_digest, range(SEED, SEED + WIDE_BYTES // 16)
+    hashes = b"".join([digest(line, seed) for lines in _shingles(text, words) for line in lines for seed in seeds])
+    rows = np.unique(np.frombuffer(hashes, f"V{WIDE_BYTES}"))
     ones = np.zeros(8 * WIDE_BYTES, np.int64)
     for i in range(0, len(rows), _CHUNK):
         bits = np.unpackbits(rows[i : i + _CHUNK].view(np.uint8).reshape(-1, WIDE_BYTES), axis=1)
         ones += bits.sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > len(rows)).tobytes(), len(rows)
+    return np.packbits(2 * ones > len(rows)).tobytes() + digest(rows.tobytes(), SEED), len(rows)
+
+
+def _differing_share(common: int, first: int, second: int) -> float:
+    """Chance that a bit differs between two sets with so many shingles in common and of their own."""
 
+    def ones(n: int) -> np.ndarray:
+        return np.array([comb(n, i) / 2**n for i in range(n + 1)])
 
-def wide_radius(similarity: float) -> int:
-    """Bits in which fingerprints of shingle sets with this Jaccard similarity differ, and two deviations.
+    def over(own: int) -> np.ndarray:
+        # Set if more than half of all are ones, given those of the common shingles; a tie is not.
+        tail = np.append(np.cumsum(ones(own)[::-1])[::-1], 0.0)
+        return tail[np.clip((common + own) // 2 + 1 - np.arange(common + 1), 0, own + 1)]
 
-    Equally large sets have the cosine 2 J / (1 + J), and a bit differs with the angle's share
-    of a half turn. The deviations keep nearly all pairs just above the similarity.
+    a, b = over(first), over(second)
+    return float((ones(common) * (a * (1 - b) + b * (1 - a))).sum())
+
+
+def wide_radius(similarity: float, size: int, deviations: float = DEVIATIONS) -> int:
+    """Bits in which fingerprints of sets this alike differ at most, the smaller set having ``size`` shingles or more.
+
+    Bits are independent, so their number is binomial; its chance is worked out for the sets least
+    alike, as majorities of few shingles differ more often than the angle of large sets says.
     """
-    share = acos(2 * similarity / (1 + similarity)) / pi
+    size, share = max(1, min(size, _LARGE)), acos(2 * similarity / (1 + similarity)) / pi
+    for whole in range(size, 2 * size + 8):
+        most = int(whole * (1 - similarity) + 1e-9)
+        for own in {most, max(0, most - 1)}:
+            for first in {0, own // 4, own // 2}:
+                share = max(share, _differing_share(whole - own, first, own - first))
     bits = 8 * WIDE_BYTES
-    return int(bits * share + 2 * (bits * share * (1 - share)) ** 0.5)
+    return ceil(bits * share + deviations * (bits * share * (1 - share)) ** 0.5)
+
+
+def _wide_in_tiles(radii: list[int], spanning: bool):
+    """Function over rows (tile, chunk, guest, fingerprint, label) sorted in this order, owners first.
 
+    Returned are pairs within the tile's radius and of different labels: all of them or, if
+    ``spanning``, those that connect what was not connected in the chunk.
+    """
+    words, dense = WIDE_BYTES // 8, WIDE_BYTES // 8 * 5 // 8
+
+    def near(owners: np.ndarray, rows: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places (row, owner) of the pairs; only those beyond the radius in the first words already are left out."""
+        total = np.zeros((len(rows), owners.shape[1]), np.uint16)
+        for i in range(dense):
+            total += np.bitwise_count(rows[:, i, None] ^ owners[i])
+        j, k = np.nonzero(total <= radius)
+        count = total[j, k].astype(np.int64)
+        for i in range(dense, words):
+            count += np.bitwise_count(rows[j, i] ^ owners[i, k])
+        return j[count <= radius], k[count <= radius]
 
-def wide_links(prints: DataFrame, radius: int) -> DataFrame:
-    """(u, v) as :func:`links`, of the distinct (fingerprint, size) with wide fingerprints.
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = None
+        for batch in batches:
+            tile, chunk, guest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            nodes, labels = np.array(batch.column(3).to_pylist(), object), batch.column(4).to_numpy()
+            prints = np.frombuffer(b"".join(n[:WIDE_BYTES] for n in nodes), np.uint64).reshape(-1, words)
+            edges = _edges(tile, chunk, guest) if len(nodes) else [0]
+            for start, end in zip(edges, edges[1:]):
+                if key != (key := (tile[start], chunk[start])):
+                    owners, owned, of, forest = np.zeros((words, 0), np.uint64), nodes[:0], labels[:0], Forest(0)
+                rows, place = prints[start:end], None
+                if not guest[start]:
+                    # Owners can come in two batches; earlier ones keep their places.
+                    place = len(owned)
+                    owners = np.ascontiguousarray(np.concatenate([owners, rows.T], axis=1))
+                    owned, of = np.concatenate([owned, nodes[start:end]]), np.concatenate([of, labels[start:end]])
+                    forest.label = np.concatenate([forest.label, np.arange(place, len(owned))])
+                radius = radii[min(int(tile[start]), len(radii) - 1)]
+                step = max(1, (1 << 17) // max(1, len(owned)))
+                for i in range(0, len(rows), step):
+                    j, k = near(owners, rows[i : i + step], radius)
+                    j += i
+                    if spanning:
+                        at = np.flatnonzero(np.diff(j, prepend=-1))
+                        links = [
+                            (row, link)
+                            for row, close in zip(j[at].tolist(), np.split(k, at[1:]))
+                            for link in forest.links(close, None if place is None else place + row)
+                        ]
+                        j, k = np.array(links, np.int64).reshape(-1, 2).T
+                    keep = labels[start + j] != of[k]
+                    if place is not None:
+                        keep &= (k < place + j) | spanning
+                    if keep.any():
+                        ends = [owned[k[keep]], nodes[start + j[keep]]]
+                        yield pa.RecordBatch.from_arrays([pa.array(e, pa.binary()) for e in ends], names=["u", "v"])
+
+    return run
+
+
+def wide_pairs(prints: DataFrame, similarity: float, deviations: float, spanning: bool) -> DataFrame:
+    """(u, v) of the distinct (fingerprint, size, label) with wide fingerprints that may be this alike.
 
     Here the radius is too large for counts of bits to tell tiles apart, so a tile holds texts with
     about the same number of distinct shingles: of two sets with similarity 0.8 the larger has at most
     ``SIZE_STEP`` times as many, so a tile's fingerprints visit the next one.
     """
+    levels = range(ceil(log(_LARGE, SIZE_STEP)) + 2)
+    radii = [wide_radius(similarity, ceil(SIZE_STEP ** (level - 1) - 1e-9), deviations) for level in levels]
     level = F.floor(F.log(SIZE_STEP, F.greatest("size", F.lit(1)))).cast("int")
-    base = _dealt(prints).select("fingerprint", level.alias("home"))
+    base = _dealt(prints).select("fingerprint", "label", level.alias("home"))
     spread = base.select("*", F.explode(F.array("home", F.col("home") + 1)).alias("tile"))
     # A few hundred tiles at most, as sizes are longs.
     sizes = base.groupBy(F.col("home").alias("tile")).agg(
         F.ceil(F.count("*") / WIDE_TILE_ROWS).cast("int").alias("chunks")
     )
-    return _deal(spread, sizes, "binary", radius)
+    return _deal(spread, sizes, "binary", _wide_in_tiles(radii, spanning), "label")
 
 
 def near_duplicates(
@@ -289,21 +364,63 @@ def _grouped(prints: DataFrame, nodes: DataFrame, edges: DataFrame, key: str) ->
     return prints.join(members, "fingerprint").select(key, "fingerprint", "component_id")
 
 
+def _alike(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The (u, v) of ``pairs`` whose shingle sets have this Jaccard similarity at least.
+
+    ``docs`` has (key, text), ``nodes`` the ``pick`` of each fingerprint: which text to take its set from.
+    """
+
+    def run(texts: list[bytes | None]) -> dict[str, pa.Array]:
+        return {"shingles": pa.array([shingle_set(t or b"", words) for t in texts], pa.list_(pa.int64()))}
+
+    pairs = materialised(pairs.distinct())
+    ends = pairs.select(F.col("u").alias("fingerprint")).unionByName(pairs.select(F.col("v").alias("fingerprint")))
+    picked = nodes.join(ends.distinct(), "fingerprint", "left_semi").select("fingerprint", "pick.*")
+    held = docs.select(F.col("key").alias("_key"), "text", F.xxhash64("text").alias("_mark"))
+    texts = held.join(picked, F.col("_key").eqNullSafe(F.col("key")) & (F.col("_mark") == F.col("mark")))
+    sets = map_blocks(texts.select("fingerprint", "text"), "text", run, "shingles array<bigint>").drop("text")
+    # Null keys can give a set several times.
+    sets = materialised(sets.dropDuplicates(["fingerprint"]))
+    side = lambda name: sets.select(F.col("fingerprint").alias(name), F.col("shingles").alias(f"of_{name}"))
+    both = F.size(F.array_intersect("of_u", "of_v"))
+    met = pairs.join(side("u"), "u").join(side("v"), "v")
+    met = met.select("u", "v", both.alias("both"), (F.size("of_u") + F.size("of_v")).alias("sum"))
+    return materialised(met.filter(F.col("both") / (F.col("sum") - F.col("both")) >= similarity).select("u", "v"))
+
+
 def similar_texts(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8
 ) -> DataFrame:
-    """(key, fingerprint, component_id) of each row, linking texts of about this Jaccard similarity.
-
-    As :func:`near_duplicates`, with fingerprints of 512 bits over distinct shingles of five words and
-    the radius that belongs to the similarity: one of 64 bits cannot tell 0.8 from chance at
-    a radius that finds it. The decision is the fingerprints', as it is there.
+    """(key, fingerprint, component_id) of each row, linking texts of this Jaccard similarity or more.
+
+    As :func:`near_duplicates`, but fingerprints only propose: 512 bits over distinct shingles of five
+    words, at a radius ``DEVIATIONS`` above what the similarity gives for texts of the size. A link
+    is kept if the two texts' shingle sets, joined, have the similarity. First the closer pairs
+    that span their chunks are decided, then all pairs not yet connected, so that a large
+    group of copies doesn't meet in all its pairs. Texts with equal sets of shingles are one
+    ``fingerprint``. Null keys are allowed; keys should tell rows apart otherwise.
     """
 
     def run(texts: list[bytes | None]) -> dict[str, pa.Array]:
         made = [wide_fingerprint(t or b"", words) for t in texts]
         return {"fingerprint": pa.array([m[0] for m in made], pa.binary()), "size": pa.array([m[1] for m in made])}
 
-    rows = map_blocks(docs.select(F.col(key), F.col(text)), text, run, "fingerprint binary, size bigint")
-    prints = materialised(rows.drop(text))
-    nodes = prints.groupBy("fingerprint").agg(F.min(key).alias("least"), F.min("size").alias("size"))
-    return _grouped(prints, nodes, wide_links(nodes, wide_radius(similarity)), key)
+    docs = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = map_blocks(docs, "text", run, "fingerprint binary, size bigint")
+    prints = materialised(rows.withColumn("mark", F.xxhash64("text")).drop("text"))
+    pick = F.min(F.struct(F.isnull("key").alias("none"), "key", "mark"))
+    nodes = prints.groupBy("fingerprint").agg(
+        F.min("key").alias("least"), F.min("size").alias("size"), pick.alias("pick")
+    )
+    nodes = materialised(nodes.withColumn("pick", F.struct("pick.key", "pick.mark")))
+    # Sets below the size at which one may differ are alike only if equal, and then they are one node.
+    asked = nodes.filter((F.col("size") + 1) * similarity <= F.col("size"))
+    label = lambda column: F.xxhash64(column).alias("label")
+    close = wide_pairs(asked.select("fingerprint", "size", label("fingerprint")), similarity, 0, True)
+    found = _alike(docs, nodes, close, words, similarity)
+    roots = components(found)
+    rooted = asked.join(roots, asked["fingerprint"] == roots["node"], "left")
+    rooted = rooted.select("fingerprint", "size", label(F.coalesce("root", "fingerprint")))
+    rest = wide_pairs(rooted, similarity, DEVIATIONS, False)
+    found = found.unionByName(_alike(docs, nodes, rest, words, similarity))
+    return _grouped(prints, nodes, found, "key").withColumnRenamed("key", key)
