@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlake.llm import language, mixing, quality, sentencepieces, simhash
-from eventlake.llm.common import read, remainder, shared_folder
+from eventlake.llm.common import materialised, read, remainder, shared_folder
 
 #: A document stays if its language is known with this score at least.
 LANGUAGE_SCORE = 0.5
@@ -24,8 +24,8 @@ def _unmarked(marked: DataFrame) -> list:
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """Marked columns and ``row``. A stage's input is a written table, so both scans number rows alike."""
-    return _marked(docs).withColumn("row", F.monotonically_increasing_id())
+    """Marked columns and ``row``, written once: two scans of a table can cut it up differently."""
+    return materialised(_marked(docs).withColumn("row", F.monotonically_increasing_id()))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
