@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from itertools import count as count_up
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from eventlake.llm.common import materialised
 from eventlake.llm.vectors import best, matrix, prepared, sample, tiled_search
 
 #: Rounds in which rotation and codes are fitted to each other.
@@ -27,6 +30,14 @@ class Codes:
     rotation: np.ndarray
     radius: int
 
+    @property
+    def bits(self) -> int:
+        return len(self.mean)
+
+    def widened(self, step: int) -> int:
+        """The radius, doubled ``step`` times and at most all bits."""
+        return min(self.bits, max(1, self.radius) << step) if step else self.radius
+
     def of(self, x: np.ndarray) -> np.ndarray:
         return np.packbits((x - self.mean) @ self.rotation > 0, axis=1)
 
@@ -106,40 +117,56 @@ def mih_search(
     Queries are the rows whose key ``every`` divides; every row but the query's own is a
     candidate. Codes and radius are fitted on a bounded sample; every row is indexed,
     and the index of a shard is made where its rows are. What the probes find is ranked
-    by the original vectors in double precision. Null, zero and non-finite vectors and
+    by the original vectors in double precision. Queries that find fewer than ``k`` probe again
+    at twice the radius, up to all bits, until they have ``k`` or all candidates. Null, zero and non-finite vectors and
     null keys take no part, repeated keys count once, vectors of different dimensions
     are never compared. An empty table gives an empty result.
     """
     rows, queries, count, asked = prepared(df, key, vector, every, zero=False)
     fitted = {d: fit_codes(x, k, cover) for d, x in sample(rows, count).items() if len(x) > 1}
 
-    def kernel(tile: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            x, ids = matrix(left["v"]), left["vec_id"].to_numpy()
-            keep = _few_of_equal(x, ids, k)
-            x, ids = x[keep], ids[keep]
-            q, qids = matrix(right["v"]), right["vec_id"].to_numpy()
-            codes = fitted.get(int(tile[0]))
-            found = np.ones((len(q), len(x)), bool)
-            if codes is not None:
-                found = within_radius(codes.of(x), codes.of(q), codes.radius)
-            found &= qids[:, None] != ids[None]
-            used = np.flatnonzero(found.any(axis=0))
-            lengths = (x[used] ** 2).sum(axis=1)
-            for i in range(len(q)):
-                mine = np.flatnonzero(found[i, used])
-                at = used[mine]
-                if len(at) > k:
-                    rough = lengths[mine] - 2 * (x[at] @ q[i])
-                    worst = np.partition(rough, k - 1)[k - 1]
-                    slack = 1e-9 * (np.abs(rough).max() + (q[i] ** 2).sum())
-                    at = at[~(rough > worst + slack)]
-                exact = np.sqrt(((x[at] - q[i]) ** 2).sum(axis=1))
-                first = np.lexsort((ids[at], exact))[:k]
-                out.append(pd.DataFrame({"query_id": qids[i], "vec_id": ids[at[first]], "score": exact[first]}))
-        columns = {"query_id": np.int64, "vec_id": np.int64, "score": np.float64}
-        return pd.concat(out) if out else pd.DataFrame({n: np.array([], t) for n, t in columns.items()})
-
-    found = tiled_search(rows, queries, count, asked, kernel, "double")
-    return best(found, k, F.col("score"))
+    def probing(step: int):
+        def kernel(tile: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            out = []
+            if len(left) and len(right):
+                x, ids = matrix(left["v"]), left["vec_id"].to_numpy()
+                keep = _few_of_equal(x, ids, k)
+                x, ids = x[keep], ids[keep]
+                q, qids = matrix(right["v"]), right["vec_id"].to_numpy()
+                codes = fitted.get(int(tile[0]))
+                found = np.ones((len(q), len(x)), bool)
+                if codes is not None:
+                    found = within_radius(codes.of(x), codes.of(q), codes.widened(step))
+                found &= qids[:, None] != ids[None]
+                used = np.flatnonzero(found.any(axis=0))
+                lengths = (x[used] ** 2).sum(axis=1)
+                for i in range(len(q)):
+                    mine = np.flatnonzero(found[i, used])
+                    at = used[mine]
+                    if len(at) > k:
+                        rough = lengths[mine] - 2 * (x[at] @ q[i])
+                        worst = np.partition(rough, k - 1)[k - 1]
+                        slack = 1e-9 * (np.abs(rough).max() + (q[i] ** 2).sum())
+                        at = at[~(rough > worst + slack)]
+                    exact = np.sqrt(((x[at] - q[i]) ** 2).sum(axis=1))
+                    first = np.lexsort((ids[at], exact))[:k]
+                    out.append(pd.DataFrame({"query_id": qids[i], "vec_id": ids[at[first]], "score": exact[first]}))
+            columns = {"query_id": np.int64, "vec_id": np.int64, "score": np.float64}
+            return pd.concat(out) if out else pd.DataFrame({n: np.array([], t) for n, t in columns.items()})
+
+        return kernel
+
+    parts = []
+    for step in count_up():
+        found = best(tiled_search(rows, queries, count, asked, probing(step), "double"), k, F.col("score"))
+        if all(codes.widened(step) >= codes.bits for codes in fitted.values()):
+            parts.append(found)
+            break
+        found = materialised(found)
+        full = found.groupBy("query_id").count().filter(F.col("count") >= k).select("query_id")
+        parts.append(found.join(full, "query_id", "left_semi"))
+        queries = materialised(queries.join(full, F.col("vec_id") == F.col("query_id"), "left_anti"))
+        asked = queries.count()
+        if not asked:
+            break
+    return reduce(DataFrame.unionByName, parts)
