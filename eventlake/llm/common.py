@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 BLOCK_BYTES = 1 << 20
 #: Rows that pass between Spark and Python at once; a longer single row passes alone.
 BATCH_BYTES = 8 << 20
+#: Pieces that a text too long for a sample is represented by.
+PIECES = 16
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -133,21 +135,44 @@ def hash_slot(*columns: Column) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(65536))
 
 
+def _pieces(text: str, wanted: int) -> Column:
+    """The text alone or, of one above ``wanted`` bytes, pieces of about so many in all from all over it."""
+    part = wanted // PIECES
+    # Characters, so none is cut; the bytes of a piece are about its share of the text's.
+    step = F.char_length(text) / F.lit(PIECES)
+    length = F.greatest(F.lit(1), F.floor(F.char_length(text) * F.lit(part) / F.octet_length(text))).cast("int")
+    cut = lambda i: F.substring(F.col(text), F.floor(i * step).cast("int") + 1, length)
+    spread = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), cut)
+    return F.when(F.octet_length(text) <= wanted, F.array(text)).otherwise(F.filter(spread, lambda p: p != ""))
+
+
 def sample_texts(rows: DataFrame, wanted: int) -> dict[str, list[bytes]]:
-    """Whole texts of (label, text) by label, about ``wanted`` bytes of each, by hash of the text.
+    """Texts of (label, text) by label, about ``wanted`` bytes of each, in order of the text's hash.
 
-    The sample stays of this size as the table grows, and only it comes to the driver. A text
-    that repeats under a label is taken once. Nulls, empty texts and single texts above ``wanted``
-    are never in it.
+    The sample stays of about this size as the table grows, and only it comes to the driver. A text
+    that repeats under a label counts and is taken once. A label's share of hashes is doubled
+    until it holds half of what it should, so each label with texts has some. Single texts above
+    ``wanted`` give pieces. Nulls and empty texts are never in it.
     """
-    size = F.octet_length("text")
-    rows = rows.filter(F.col("label").isNotNull() & size.between(1, wanted))
-    totals = rows.groupBy("label").agg(F.sum(size).alias("n")).collect()
+    rows = rows.filter(F.col("label").isNotNull() & (F.octet_length("text") > 0))
+    size = F.least(F.octet_length("text"), F.lit(wanted)).cast("long")
+    each = rows.groupBy("label", F.xxhash64("text").alias("hash")).agg(F.min(size).alias("n"))
+    each = materialised(each)
+    slot = lambda hashed: F.pmod(hashed, F.lit(65536))
+    totals = {r["label"]: r["n"] for r in each.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     if not totals:
         return {}
-    shares = [x for r in totals for x in (F.lit(r["label"]), F.lit(sampled_share(r["n"], wanted)))]
-    taken = hash_slot(F.col("text")) < F.element_at(F.create_map(*shares), F.col("label"))
+    shares, short = {label: sampled_share(n, wanted) for label, n in totals.items()}, list(totals)
+    chosen = lambda: F.element_at(
+        F.create_map(*(x for label, n in shares.items() for x in (F.lit(label), F.lit(n)))), F.col("label")
+    )
+    while short:
+        held = each.filter(slot(F.col("hash")) < chosen()).groupBy("label").agg(F.sum("n").alias("n"))
+        held = {r["label"]: r["n"] for r in held.collect()}
+        short = [x for x in short if 2 * held.get(x, 0) < min(totals[x], wanted) and shares[x] < 65536]
+        shares |= {x: min(65536, 2 * shares[x]) for x in short}
+    taken = rows.filter(hash_slot(F.col("text")) < chosen()).select("label", "text").distinct()
     found: dict[str, list[bytes]] = {}
-    for label, text in rows.filter(taken).select("label", "text").distinct().collect():
+    for label, text in taken.select("label", F.explode(_pieces("text", wanted))).collect():
         found.setdefault(label, []).append(text.encode())
     return {label: sorted(texts) for label, texts in found.items()}

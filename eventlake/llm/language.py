@@ -11,7 +11,7 @@ from eventlake.llm.grams import ByteModel
 
 #: Bytes of context.
 ORDER = 4
-#: Bytes of text that a language is learned from, at most about; longer texts aren't learned from.
+#: Bytes of text that a language is learned from, at most about; longer texts give pieces.
 SAMPLE_BYTES = 1 << 20
 UNDETERMINED = "und"
 _NO_LETTERS = bytes(i for i in range(128) if not chr(i).isalpha())
@@ -27,7 +27,7 @@ def has_letters(text: bytes | None) -> bool:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER):
     """(languages, model) learned from a sample of the rows given, by hash of the text.
 
-    A sample has about ``SAMPLE_BYTES`` of each language, whole texts, at every size of the
+    A sample has about ``SAMPLE_BYTES`` of each language, pieces of longer texts, at every size of the
     table; only it comes to the driver. Null texts and languages teach nothing.
     """
     by_lang = sample_texts(docs.select(F.col(lang).alias("label"), F.col(text).alias("text")), SAMPLE_BYTES)
