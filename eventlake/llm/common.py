@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import re
 import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -48,6 +49,13 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, whose size Spark knows when it plans."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the column as text, modulo the divisor; null stays null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor

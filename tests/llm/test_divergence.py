@@ -1,0 +1,116 @@
+"""Distances between sources against a plain version over Python's integers."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from fixtures import AWKWARD, documents, rows
+
+from eventlake.llm import divergence
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return TERM.findall(lower)
+
+
+def plain(docs, top=200):
+    docs = [(words(t), lang or "", source or "") for t, lang, source in docs]
+    found = []
+    for lang in {d[1] for d in docs}:
+        mine = [(w, s) for w, of, s in docs if of == lang]
+        in_docs = Counter(term for w, _ in mine for term in set(w))
+        kept = [term for term, n in in_docs.items() if n >= 3]
+        count = {s: Counter() for _, s in mine}
+        for w, s in mine:
+            count[s].update(w)
+        whole = sum(count.values(), Counter())
+
+        def share(of):
+            total = sum(of[t] for t in kept)
+            return {t: 1 + 10**9 * (of[t] + 1) // (total + len(kept)) for t in kept}
+
+        p, q = {s: share(c) for s, c in count.items()}, share(whole)
+        for s in count:
+            f = lambda a, b, t: (a[t] - b[t]) ** 2 // b[t]
+            parts = {
+                "pair": [(-sum(f(p[s], p[o], t) for t in kept), o.encode(), o) for o in count if o != s],
+                "term": [(-f(p[s], q, t), t.encode(), t) for t in kept if count[s][t] and p[s][t] > q[t]],
+            }
+            for part, items in parts.items():
+                limit = top if part == "term" else len(items)
+                found += [(lang, s, part, i, -v, r) for r, (v, _, i) in enumerate(sorted(items)[:limit], 1)]
+    return sorted(found)
+
+
+def audit(spark, docs, **settings):
+    rows_ = [(i, t, lang, source, None) for i, (t, lang, source) in enumerate(docs)]
+    return sorted(rows(divergence.audit(documents(spark, rows_), **settings)))
+
+
+def corpus(seed, n):
+    rng = random.Random(seed)
+    vocabulary = [f"W{i}x" if i % 2 else f"é{'abc'[i % 3] * (i % 7 + 1)}{'z' * (i // 21)}" for i in range(150)]
+    docs = []
+    for _ in range(n):
+        some = rng.choices(vocabulary, [1 / (i + 1) for i in range(150)], k=rng.randint(0, 60))
+        docs.append((rng.choice([" ", "7", "_-\t"]).join(some), rng.choice(["en", "de", None]), rng.choice("aaabcd")))
+    return docs
+
+
+@pytest.mark.parametrize("cells", [1 << 22, 64])
+def test_equals_the_plain_version(spark, monkeypatch, cells):
+    monkeypatch.setattr(divergence, "CELLS", cells)
+    monkeypatch.setattr(divergence, "HELD", 100)
+    docs = corpus(3, 200)
+    assert audit(spark, docs) == plain(docs)
+    assert audit(spark, docs, top=3) == plain(docs, top=3)
+
+
+def test_awkward_rows(spark):
+    docs = [(t, lang, source) for _, t, lang, source, _ in AWKWARD] * 2
+    assert audit(spark, docs) == plain(docs)
+
+
+def test_groups_without_terms_and_languages_without_vocabulary(spark):
+    docs = [("same words", "en", "a"), (None, "en", "b"), ("12 !", "en", None), ("one", "de", "a"), ("two", "de", "b")]
+    docs += [("same", "en", "c")] * 3 + [(None, None, None)]
+    assert audit(spark, docs) == plain(docs)
+    assert ("de", "a", "pair", "b", 0, 1) in plain(docs)
+
+
+def test_empty_table(spark):
+    assert audit(spark, []) == []
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    monkeypatch.setattr(divergence, "PIECE", 7)
+    text = "Ab, cdefghijklmnop é1日本語日本語日本語 x " * 3
+    assert [w.decode() for some in divergence.terms(text.encode()) for w in some] == words(text)
+
+
+def test_shares_are_exact_far_beyond_doubles():
+    rng = random.Random(1)
+    for total in (0, 5, 10**9, 10**15, 8 * 10**15):
+        counts = [rng.randint(0, total) for _ in range(50)] + [0, total]
+        found = divergence.shares(np.array(counts, np.int64), total, 12345)
+        assert found.tolist() == [1 + 10**9 * (c + 1) // (total + 12345) for c in counts]
+
+
+def test_runs_meet_as_columns_do():
+    rng = np.random.default_rng(4)
+    counts = np.minimum(rng.zipf(1.5, (5, 2000)), 30) * (rng.random((5, 2000)) < 0.2)
+    order = divergence.clustered(counts)
+    columns = counts[:, order] * 1000 + 1
+    runs = [divergence.Runs(c) for c in columns]
+    assert len(runs[np.argmax(np.count_nonzero(counts, axis=1))].starts) <= 31
+    for i in range(5):
+        for j in range(5):
+            p, q = columns[i], columns[j]
+            assert runs[i].apart(runs[j]) == (((p - q) ** 2 // q).sum(), ((p - q) ** 2 // p).sum())
