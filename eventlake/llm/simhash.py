@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventlake.llm.common import map_batches, map_blocks, materialised
+from eventlake.llm.common import map_batches, map_blocks, materialised, written
 from eventlake.llm.components import components
 
 RADIUS = 2
@@ -24,6 +24,8 @@ TILE_ROWS = 4096
 #: The same for wide fingerprints, whose tiles are larger.
 WIDE_TILE_ROWS = 1 << 15
 WIDE_BYTES = 64
+#: Shingle sets of owners, in bytes, that a task compares with others at once.
+CELL_BYTES = 64 << 20
 #: Numbers of shingles in one tile differ by less than this factor, one by the similarity.
 SIZE_STEP = 1.25
 #: Deviations that the radius of wide fingerprints leaves above the mean: about one pair in 10 ** 9 lies beyond.
@@ -92,9 +94,13 @@ class Forest:
         """Owners that one row must be linked to, given the owners close to it; ``own`` is the row's place."""
         labels, first = np.unique(self.label[close], return_index=True)
         keep = close[first] if own is None else close[first[labels != self.label[own]]]
+        self.join(labels)
+        return keep.tolist()
+
+    def join(self, labels: np.ndarray) -> None:
+        """Make the sets of these distinct labels one."""
         if len(labels) > 1:
             self.label[np.isin(self.label, labels[1:])] = labels[0]
-        return keep.tolist()
 
 
 def _edges(*columns: np.ndarray) -> list[int]:
@@ -145,8 +151,8 @@ def _links_in_tiles(radius: int):
     return run
 
 
-def _deal(spread: DataFrame, sizes: DataFrame, kind: str, kernel, *more: str) -> DataFrame:
-    """What ``kernel`` links of (fingerprint, home, tile) rows, where ``home`` is the fingerprint's own tile.
+def _deal(spread: DataFrame, sizes: DataFrame, *more: str) -> DataFrame:
+    """(tile, chunk, guest, fingerprint) sorted so, of (fingerprint, home, tile) rows, where ``home`` is the fingerprint's own tile.
 
     ``sizes`` has the chunks of each tile that has owners; its size is bounded. Owners visit
     the later chunks of their own tile, other fingerprints all chunks of the tile.
@@ -160,8 +166,7 @@ def _deal(spread: DataFrame, sizes: DataFrame, kind: str, kernel, *more: str) ->
         .withColumn("guest", ((F.col("tile") != F.col("home")) | (F.col("chunk") != F.col("first"))).cast("int"))
         .select("tile", "chunk", "guest", "fingerprint", *more)
     )
-    work = work.repartition("tile", "chunk").sortWithinPartitions("tile", "chunk", "guest")
-    return map_batches(work, kernel, f"u {kind}, v {kind}")
+    return work.repartition("tile", "chunk").sortWithinPartitions("tile", "chunk", "guest")
 
 
 def _dealt(prints: DataFrame) -> DataFrame:
@@ -195,7 +200,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     sizes = base.groupBy(_tile(home).alias("tile")).agg(
         F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("chunks")
     )
-    return _deal(spread, sizes, "bigint", _links_in_tiles(radius))
+    return map_batches(_deal(spread, sizes), _links_in_tiles(radius), "u bigint, v bigint")
 
 
 def _shingles(text: bytes, words: int) -> Iterator[set[bytes]]:
@@ -259,82 +264,169 @@ def wide_radius(similarity: float, size: int, deviations: float = DEVIATIONS) ->
     return ceil(bits * share + deviations * (bits * share * (1 - share)) ** 0.5)
 
 
-def _wide_in_tiles(radii: list[int], spanning: bool):
-    """Function over rows (tile, chunk, guest, fingerprint, label) sorted in this order, owners first.
+_DENSE = WIDE_BYTES // 8 * 5 // 8
+
+
+def _near(owners: np.ndarray, rows: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (row, owner) of the pairs within the radius; beyond it in the first words already ends a count."""
+    total = np.zeros((len(rows), owners.shape[1]), np.uint16)
+    for i in range(_DENSE):
+        total += np.bitwise_count(rows[:, i, None] ^ owners[i])
+    j, k = np.nonzero(total <= radius)
+    count = total[j, k].astype(np.int64)
+    for i in range(_DENSE, owners.shape[0]):
+        count += np.bitwise_count(rows[j, i] ^ owners[i, k])
+    return j[count <= radius], k[count <= radius]
+
+
+def _words(nodes: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(n[:WIDE_BYTES] for n in nodes), np.uint64).reshape(-1, WIDE_BYTES // 8)
 
-    Returned are pairs within the tile's radius and of different labels: all of them or, if
-    ``spanning``, those that connect what was not connected in the chunk.
-    """
-    words, dense = WIDE_BYTES // 8, WIDE_BYTES // 8 * 5 // 8
-
-    def near(owners: np.ndarray, rows: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places (row, owner) of the pairs; only those beyond the radius in the first words already are left out."""
-        total = np.zeros((len(rows), owners.shape[1]), np.uint16)
-        for i in range(dense):
-            total += np.bitwise_count(rows[:, i, None] ^ owners[i])
-        j, k = np.nonzero(total <= radius)
-        count = total[j, k].astype(np.int64)
-        for i in range(dense, words):
-            count += np.bitwise_count(rows[j, i] ^ owners[i, k])
-        return j[count <= radius], k[count <= radius]
+
+class Owners:
+    """The owners of one chunk so far, and the pairs that further rows make with them."""
+
+    def __init__(self):
+        self.prints = np.zeros((WIDE_BYTES // 8, 0), np.uint64)
+
+    def pairs(self, prints: np.ndarray, guest: bool, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places (row, owner) within the radius, some rows at a time; rows that are no guests become owners first."""
+        place = self.prints.shape[1]
+        if not guest:
+            # Owners can come in two batches; earlier ones keep their places.
+            self.prints = np.ascontiguousarray(np.concatenate([self.prints, prints.T], axis=1))
+        step = max(1, (1 << 17) // max(1, self.prints.shape[1]))
+        for i in range(0, len(prints), step):
+            j, k = _near(self.prints, prints[i : i + step], radius)
+            j += i
+            yield (j, k) if guest else (j[k < place + j], k[k < place + j])
+
+
+def _flagged_in_tiles(radii: list[int]):
+    """Function over rows (tile, chunk, guest, fingerprint, size) sorted so, owners first: those with a pair within the radius."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = None
         for batch in batches:
             tile, chunk, guest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            nodes, labels = np.array(batch.column(3).to_pylist(), object), batch.column(4).to_numpy()
-            prints = np.frombuffer(b"".join(n[:WIDE_BYTES] for n in nodes), np.uint64).reshape(-1, words)
-            edges = _edges(tile, chunk, guest) if len(nodes) else [0]
+            edges = _edges(tile, chunk, guest) if batch.num_rows else [0]
             for start, end in zip(edges, edges[1:]):
                 if key != (key := (tile[start], chunk[start])):
-                    owners, owned, of, forest = np.zeros((words, 0), np.uint64), nodes[:0], labels[:0], Forest(0)
-                rows, place = prints[start:end], None
+                    owners, held, seen = Owners(), [], np.zeros(0, bool)
+                rows = batch.slice(start, end - start)
+                radius, place = radii[min(int(tile[start]), len(radii) - 1)], len(seen)
                 if not guest[start]:
-                    # Owners can come in two batches; earlier ones keep their places.
-                    place = len(owned)
-                    owners = np.ascontiguousarray(np.concatenate([owners, rows.T], axis=1))
-                    owned, of = np.concatenate([owned, nodes[start:end]]), np.concatenate([of, labels[start:end]])
-                    forest.label = np.concatenate([forest.label, np.arange(place, len(owned))])
+                    held.append(rows)
+                    seen = np.append(seen, np.zeros(len(rows), bool))
+                hit, hit_rows = np.zeros(len(seen), bool), np.zeros(len(rows), bool)
+                for j, k in owners.pairs(_words(rows.column(3).to_pylist()), bool(guest[start]), radius):
+                    hit[k] = hit_rows[j] = True
+                if not guest[start]:
+                    hit[place:] |= hit_rows
+                elif hit_rows.any():
+                    yield rows.take(pa.array(np.flatnonzero(hit_rows)))
+                new = np.flatnonzero(hit & ~seen)
+                seen |= hit
+                first = 0
+                for part in held if len(new) else []:
+                    mine = new[(new >= first) & (new < first + len(part))] - first
+                    if len(mine):
+                        yield part.take(pa.array(mine))
+                    first += len(part)
+
+    return run
+
+
+def _common(mine: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many of its members each of the others, sorted and not empty, shares with a sorted set."""
+    flat = np.concatenate(others)
+    place = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+    starts = np.cumsum([0, *(len(o) for o in others[:-1])])
+    return np.add.reduceat((mine[place] == flat).astype(np.int64), starts)
+
+
+def _alike(
+    mine: np.ndarray, close: np.ndarray, sets: list[np.ndarray], forest: Forest, own: int | None, similarity: float
+) -> list[int]:
+    """Owners to link a row to: one of each set of owners hanging together that holds one alike.
+
+    Of every such set some owners are measured, then four times as many of the sets still open, so that
+    a group of copies costs a row one measurement and only what is refused is measured in full.
+    """
+    found, joined, labels, some = [], [], forest.label[close], 1
+    if own is not None:
+        joined.append(forest.label[own])
+        close, labels = close[labels != joined[0]], labels[labels != joined[0]]
+    order = np.argsort(labels, kind="stable")
+    close, labels = close[order], labels[order]
+    while len(close):
+        now = np.arange(len(close)) - np.searchsorted(labels, labels) < some
+        now[max(1, _CHUNK // len(mine)) :] = False
+        asked, theirs = close[now], labels[now]
+        sizes = np.array([len(sets[k]) for k in asked])
+        common = _common(mine, [sets[k] for k in asked])
+        yes = common / (len(mine) + sizes - common) >= similarity
+        linked, first = np.unique(theirs[yes], return_index=True)
+        found += asked[yes][first].tolist()
+        joined += linked.tolist()
+        left = ~now & ~np.isin(labels, linked)
+        close, labels, some = close[left], labels[left], 4 * some
+    forest.join(np.unique(joined))
+    return found
+
+
+def _alike_in_cells(radii: list[int], similarity: float):
+    """Function over rows (tile, chunk, part, guest, fingerprint, shingles) sorted so: links that join all pairs alike."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, last = None, None
+        for batch in batches:
+            tile, chunk, part, guest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            nodes, lists = batch.column(4).to_pylist(), batch.column(5)
+            at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            edges = _edges(tile, chunk, part, guest) if nodes else [0]
+            for start, end in zip(edges, edges[1:]):
+                if key != (key := (tile[start], chunk[start], part[start])):
+                    owners, owned, sets, forest, last = Owners(), [], [], Forest(0), None
+                # Null keys can give a text several times; it stands beside itself.
+                rows = [i for i in range(start, end) if last != (last := (guest[i], nodes[i]))]
+                mine = [nodes[i] for i in rows]
+                held = [values[at[i] : at[i + 1]] for i in rows]
+                place = None if guest[start] else len(owned)
+                if place is not None:
+                    owned += mine
+                    sets += (h.copy() for h in held)
+                    forest.label = np.append(forest.label, np.arange(place, len(owned)))
+                links = []
                 radius = radii[min(int(tile[start]), len(radii) - 1)]
-                step = max(1, (1 << 17) // max(1, len(owned)))
-                for i in range(0, len(rows), step):
-                    j, k = near(owners, rows[i : i + step], radius)
-                    j += i
-                    if spanning:
-                        at = np.flatnonzero(np.diff(j, prepend=-1))
-                        links = [
-                            (row, link)
-                            for row, close in zip(j[at].tolist(), np.split(k, at[1:]))
-                            for link in forest.links(close, None if place is None else place + row)
-                        ]
-                        j, k = np.array(links, np.int64).reshape(-1, 2).T
-                    keep = labels[start + j] != of[k]
-                    if place is not None:
-                        keep &= (k < place + j) | spanning
-                    if keep.any():
-                        ends = [owned[k[keep]], nodes[start + j[keep]]]
-                        yield pa.RecordBatch.from_arrays([pa.array(e, pa.binary()) for e in ends], names=["u", "v"])
+                for j, k in owners.pairs(_words(mine), bool(guest[start]), radius):
+                    first = np.flatnonzero(np.diff(j, prepend=-1))
+                    for row, close in zip(j[first].tolist(), np.split(k, first[1:])):
+                        own = None if place is None else place + row
+                        links += ((owned[x], mine[row]) for x in _alike(held[row], close, sets, forest, own, similarity))
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(e, pa.binary()) for e in zip(*links)], ["u", "v"])
 
     return run
 
 
-def wide_pairs(prints: DataFrame, similarity: float, deviations: float, spanning: bool) -> DataFrame:
-    """(u, v) of the distinct (fingerprint, size, label) with wide fingerprints that may be this alike.
+def _flagged(prints: DataFrame, radii: list[int]) -> DataFrame:
+    """(tile, chunk, guest, fingerprint, size) of the distinct (fingerprint, size) with a wide fingerprint within the radius.
 
     Here the radius is too large for counts of bits to tell tiles apart, so a tile holds texts with
     about the same number of distinct shingles: of two sets with similarity 0.8 the larger has at most
-    ``SIZE_STEP`` times as many, so a tile's fingerprints visit the next one.
+    ``SIZE_STEP`` times as many, so a tile's fingerprints visit the next one. A fingerprint is returned once
+    for every chunk in which it has a pair, however many.
     """
-    levels = range(ceil(log(_LARGE, SIZE_STEP)) + 2)
-    radii = [wide_radius(similarity, ceil(SIZE_STEP ** (level - 1) - 1e-9), deviations) for level in levels]
     level = F.floor(F.log(SIZE_STEP, F.greatest("size", F.lit(1)))).cast("int")
-    base = _dealt(prints).select("fingerprint", "label", level.alias("home"))
+    base = _dealt(prints).select("fingerprint", "size", level.alias("home"))
     spread = base.select("*", F.explode(F.array("home", F.col("home") + 1)).alias("tile"))
     # A few hundred tiles at most, as sizes are longs.
     sizes = base.groupBy(F.col("home").alias("tile")).agg(
         F.ceil(F.count("*") / WIDE_TILE_ROWS).cast("int").alias("chunks")
     )
-    return _deal(spread, sizes, "binary", _wide_in_tiles(radii, spanning), "label")
+    work = _deal(spread, sizes, "size")
+    return map_batches(work, _flagged_in_tiles(radii), "tile int, chunk int, guest int, fingerprint binary, size bigint")
 
 
 def near_duplicates(
@@ -364,28 +456,38 @@ def _grouped(prints: DataFrame, nodes: DataFrame, edges: DataFrame, key: str) ->
     return prints.join(members, "fingerprint").select(key, "fingerprint", "component_id")
 
 
-def _alike(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The (u, v) of ``pairs`` whose shingle sets have this Jaccard similarity at least.
+def _shingle_links(
+    docs: DataFrame, nodes: DataFrame, flagged: DataFrame, radii: list[int], words: int, similarity: float
+) -> DataFrame:
+    """(u, v) of fingerprints whose shingle sets have this Jaccard similarity: links that join all such pairs of a chunk.
 
-    ``docs`` has (key, text), ``nodes`` the ``pick`` of each fingerprint: which text to take its set from.
+    ``docs`` has (key, text), ``nodes`` the ``pick`` of each fingerprint: which text to take its set from. The sets
+    of a chunk's flagged owners are cut into parts of about ``CELL_BYTES``; the set of an owner
+    visits the later parts, a guest's all of them.
     """
 
     def run(texts: list[bytes | None]) -> dict[str, pa.Array]:
         return {"shingles": pa.array([shingle_set(t or b"", words) for t in texts], pa.list_(pa.int64()))}
 
-    pairs = materialised(pairs.distinct())
-    ends = pairs.select(F.col("u").alias("fingerprint")).unionByName(pairs.select(F.col("v").alias("fingerprint")))
-    picked = nodes.join(ends.distinct(), "fingerprint", "left_semi").select("fingerprint", "pick.*")
+    owners = flagged.filter("guest = 0").groupBy("tile", "chunk")
+    parts = written(owners.agg(F.ceil(F.sum("size") * 8 / CELL_BYTES).cast("int").alias("parts")))
+    own = F.pmod(F.xxhash64("fingerprint", F.lit("part")), F.col("parts")).cast("int")
+    visits = (
+        flagged.join(parts, ["tile", "chunk"])
+        .withColumn("first", F.when(F.col("guest") == 0, own).otherwise(F.lit(0)))
+        .withColumn("part", F.explode(F.sequence("first", F.col("parts") - 1)))
+        .withColumn("guest", F.when(F.col("part") == F.col("first"), F.col("guest")).otherwise(F.lit(1)))
+        .groupBy("fingerprint")
+        .agg(F.collect_list(F.struct("tile", "chunk", "part", "guest")).alias("cells"))
+    )
+    picked = visits.join(nodes, "fingerprint").select("fingerprint", "cells", "pick.*")
     held = docs.select(F.col("key").alias("_key"), "text", F.xxhash64("text").alias("_mark"))
     texts = held.join(picked, F.col("_key").eqNullSafe(F.col("key")) & (F.col("_mark") == F.col("mark")))
-    sets = map_blocks(texts.select("fingerprint", "text"), "text", run, "shingles array<bigint>").drop("text")
-    # Null keys can give a set several times.
-    sets = materialised(sets.dropDuplicates(["fingerprint"]))
-    side = lambda name: sets.select(F.col("fingerprint").alias(name), F.col("shingles").alias(f"of_{name}"))
-    both = F.size(F.array_intersect("of_u", "of_v"))
-    met = pairs.join(side("u"), "u").join(side("v"), "v")
-    met = met.select("u", "v", both.alias("both"), (F.size("of_u") + F.size("of_v")).alias("sum"))
-    return materialised(met.filter(F.col("both") / (F.col("sum") - F.col("both")) >= similarity).select("u", "v"))
+    sets = map_blocks(texts.select("fingerprint", "cells", "text"), "text", run, "shingles array<bigint>")
+    work = sets.select(F.explode("cells").alias("cell"), "fingerprint", "shingles")
+    work = work.select("cell.*", "fingerprint", "shingles").repartition("tile", "chunk", "part")
+    work = work.sortWithinPartitions("tile", "chunk", "part", "guest", "fingerprint")
+    return map_batches(work, _alike_in_cells(radii, similarity), "u binary, v binary")
 
 
 def similar_texts(
@@ -394,11 +496,12 @@ def similar_texts(
     """(key, fingerprint, component_id) of each row, linking texts of this Jaccard similarity or more.
 
     As :func:`near_duplicates`, but fingerprints only propose: 512 bits over distinct shingles of five
-    words, at a radius ``DEVIATIONS`` above what the similarity gives for texts of the size. A link
-    is kept if the two texts' shingle sets, joined, have the similarity. First the closer pairs
-    that span their chunks are decided, then all pairs not yet connected, so that a large
-    group of copies doesn't meet in all its pairs. Texts with equal sets of shingles are one
-    ``fingerprint``. Null keys are allowed; keys should tell rows apart otherwise.
+    words, at a radius ``DEVIATIONS`` above what the similarity gives for texts of the size. Texts with a
+    pair within the radius go once more through the chunks in which they have it, with their sets of shingles;
+    there a link is made if the two sets have the similarity. Both times a task returns no pairs: first the
+    texts concerned, then links that join what did not hang together in the chunk. So rows grow with the
+    texts of a large group, not with its pairs. Texts with equal sets of shingles are one
+    ``fingerprint``. Null and empty texts are alike. Null keys are allowed; keys should tell rows apart otherwise.
     """
 
     def run(texts: list[bytes | None]) -> dict[str, pa.Array]:
@@ -415,12 +518,8 @@ def similar_texts(
     nodes = materialised(nodes.withColumn("pick", F.struct("pick.key", "pick.mark")))
     # Sets below the size at which one may differ are alike only if equal, and then they are one node.
     asked = nodes.filter((F.col("size") + 1) * similarity <= F.col("size"))
-    label = lambda column: F.xxhash64(column).alias("label")
-    close = wide_pairs(asked.select("fingerprint", "size", label("fingerprint")), similarity, 0, True)
-    found = _alike(docs, nodes, close, words, similarity)
-    roots = components(found)
-    rooted = asked.join(roots, asked["fingerprint"] == roots["node"], "left")
-    rooted = rooted.select("fingerprint", "size", label(F.coalesce("root", "fingerprint")))
-    rest = wide_pairs(rooted, similarity, DEVIATIONS, False)
-    found = found.unionByName(_alike(docs, nodes, rest, words, similarity))
+    levels = range(ceil(log(_LARGE, SIZE_STEP)) + 2)
+    radii = [wide_radius(similarity, ceil(SIZE_STEP ** (level - 1) - 1e-9), DEVIATIONS) for level in levels]
+    flagged = materialised(_flagged(asked.select("fingerprint", "size"), radii))
+    found = _shingle_links(docs, nodes, flagged, radii, words, similarity)
     return _grouped(prints, nodes, found, "key").withColumnRenamed("key", key)
