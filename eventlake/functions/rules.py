@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import logging
+import zlib
 from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
@@ -84,7 +85,8 @@ def mapping(df: DataFrame, field: str, params: Mapping[str, Any]) -> DataFrame:
     in_place = source_name == field and not default
     text = in_place and isinstance(df.schema[source_name].dataType, T.StringType)
     kind = "string" if text else _value_type([*entries.values(), *([default] if default else [])])
-    table, key = _literal_map(entries, kind), source.cast("string")
+    key = source.cast("string")
+    table = _dictionary(entries, kind, key)
     # An entry may itself map to null, so its presence decides.
     found = F.map_contains_key(table, key)
     return df.withColumn(field, F.when(found, F.try_element_at(table, key)).otherwise(fallback))
@@ -106,10 +108,19 @@ def _value_type(values: Iterable[Any]) -> str:
     return "bigint" if any(abs(value) >= 1 << 31 for value in values) else "int"
 
 
-def _literal_map(entries: Mapping[Any, Any], kind: str) -> Column:
-    """The entries as one literal; keys are compared as text."""
-    shown = {_text(key): _text(v) if kind == "string" else v for key, v in entries.items()}
-    return F.from_json(F.lit(json.dumps(shown)), f"map<string,{kind}>")
+def _dictionary(entries: Mapping[Any, Any], kind: str, key: Column) -> Column:
+    """The part of a dictionary that a text key can be in, as a small map; keys are compared as text.
+
+    The entries are one literal, an array of as many maps as there are entries. CRC-32, which Python
+    and Spark compute alike, says which map a key is in, so a lookup looks at one entry or two
+    whatever their number. A null key has no map.
+    """
+    parts: list[dict[str, Any]] = [{} for _ in entries]
+    for entry, value in entries.items():
+        text = _text(entry)
+        parts[zlib.crc32(text.encode()) % len(parts)][text] = _text(value) if kind == "string" else value
+    table = F.from_json(F.lit(json.dumps(parts)), f"array<map<string,{kind}>>")
+    return F.get(table, (F.crc32(key.cast("binary")) % len(parts)).cast("int"))
 
 
 def _text(value: Any) -> str | None:
@@ -122,9 +133,9 @@ reset_rules()
 
 
 def map_values(source: Column, entries: Mapping[str, str]) -> Column:
-    """Lookup through a map literal; a value without an entry becomes null."""
-    pairs = [F.lit(item) for pair in entries.items() for item in pair]
-    return F.try_element_at(F.create_map(*pairs), source)
+    """Lookup in a literal dictionary; a value without an entry becomes null."""
+    key = source.cast("string")
+    return F.try_element_at(_dictionary(entries, _value_type(entries.values()), key), key)
 
 
 def apply_rules(df: DataFrame, rules: Iterable[Mapping[str, Any]] | None) -> DataFrame:

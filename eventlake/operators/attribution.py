@@ -254,18 +254,24 @@ def _joined(
 
     Both sides carry a watermark, so the state store drops inits once nothing can reach
     them and emits what stayed unmatched. A user's state has at most one row per second and
-    country, however many inits there were.
+    country, however many inits there were. Rows without a user can match nothing: a hash stands in for their join
+    key, so they are dealt over all tasks, and the condition refuses them before
+    the join, so they pass at once without ever being kept.
     """
     keys = [F.col("`user-id`").alias("_init_user"), F.col("country_name")]
     known = inits.filter(F.col("`user-id`").isNotNull())
     right = _seconds(known, keys, delay, F.count(F.lit(1)).alias("copies"))
     right = right.withColumnRenamed("_moment", "_init_moment")
+    name = F.col(f"`{user}`")
+    stand_in = F.xxhash64(*(F.col(f"`{column}`") for column in left.columns))
+    left = left.withColumn("_key", F.coalesce(name, stand_in.cast("string")))
     condition = (
-        (F.col(f"`{user}`") == F.col("_init_user"))
+        (F.col("_key") == F.col("_init_user"))
+        & name.isNotNull()
         & (F.col("_init_moment") <= F.col("_moment"))
         & (F.col("_init_moment") >= F.col("_moment") - F.expr(f"interval {lookback} seconds"))
     )
-    joined = left.join(right, condition, "left").drop("_init_user", "_init_moment")
+    joined = left.join(right, condition, "left").drop("_init_user", "_init_moment", "_key")
     return joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
 
 

@@ -25,7 +25,7 @@ def silver_tables(bronze: DataFrame) -> dict[str, DataFrame]:
 
 
 def gold_tables(
-    silver: dict[str, DataFrame], window: str = WINDOW, exact: bool = False
+    silver: dict[str, DataFrame], window: str = WINDOW, exact: bool = True
 ) -> dict[str, DataFrame]:
     init, match, purchase = silver["init"], silver["match"], silver["purchase"]
     return {
@@ -41,7 +41,7 @@ def gold_tables(
     }
 
 
-def layers(kafka: DataFrame, window: str = WINDOW, exact: bool = False) -> dict[str, DataFrame]:
+def layers(kafka: DataFrame, window: str = WINDOW, exact: bool = True) -> dict[str, DataFrame]:
     bronze = to_bronze(kafka)
     silver = silver_tables(bronze)
     named = {f"silver-{name}": df for name, df in silver.items()}

@@ -792,6 +792,6 @@ WHERE event_id IN (SELECT event_id FROM checked WHERE violations = '')""",
         )
     ),
     "rule_mapping_large": _on_inits(
-        "CASE WHEN user_id < 400 THEN cast(user_id * 7 AS integer) END AS points"
+        "CASE WHEN user_id < 20000 THEN cast(user_id * 7 AS integer) END AS points"
     ),
 }

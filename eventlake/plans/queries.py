@@ -100,7 +100,7 @@ def _parsed(spark: SparkSession, sf_dir: str, event_filter: str) -> DataFrame:
 
 
 def _layers(spark: SparkSession, sf_dir: str, window: str = "1 minute") -> dict[str, DataFrame]:
-    return medallion.layers(_kafka(spark, sf_dir), window, exact=True)
+    return medallion.layers(_kafka(spark, sf_dir), window)
 
 
 # --- bronze and parsing ---------------------------------------------------------
@@ -345,17 +345,17 @@ QUERIES["enrich_purchases_latest"] = partial(
 
 
 def _purchases(spark, sf_dir, window: str) -> DataFrame:
-    gold = minute.minute_purchases(_silver(spark, sf_dir, "purchase"), window, exact=True)
+    gold = minute.minute_purchases(_silver(spark, sf_dir, "purchase"), window)
     return comparable(rounded(gold, "total_revenue"))
 
 
 def _matches(spark, sf_dir, window: str) -> DataFrame:
-    return comparable(minute.minute_matches(_silver(spark, sf_dir, "match"), window, exact=True))
+    return comparable(minute.minute_matches(_silver(spark, sf_dir, "match"), window))
 
 
 def _purchases_by_country(spark, sf_dir, window: str, slide: str | None = None) -> DataFrame:
     purchases, inits = _silvers(spark, sf_dir, "purchase", "init")
-    gold = minute.minute_purchases_by_country(purchases, inits, window, slide, exact=True)
+    gold = minute.minute_purchases_by_country(purchases, inits, window, slide)
     return comparable(rounded(gold, "country_revenue"))
 
 
@@ -363,7 +363,7 @@ def _matches_by_country(
     spark, sf_dir, window: str, sides: Sequence[str] = ("user-a",)
 ) -> DataFrame:
     matches, inits = _silvers(spark, sf_dir, "match", "init")
-    gold = minute.minute_matches_by_country(matches, inits, window, sides, exact=True)
+    gold = minute.minute_matches_by_country(matches, inits, window, sides)
     return comparable(gold)
 
 
@@ -391,12 +391,12 @@ def _(spark, sf_dir):
 
 @query("minute_match_players")
 def _(spark, sf_dir):
-    return comparable(minute.minute_match_players(_silver(spark, sf_dir, "match"), exact=True))
+    return comparable(minute.minute_match_players(_silver(spark, sf_dir, "match")))
 
 
 @query("minute_purchases_since")
 def _(spark, sf_dir):
-    gold = minute.minute_purchases(_silver(spark, sf_dir, "purchase"), exact=True)
+    gold = minute.minute_purchases(_silver(spark, sf_dir, "purchase"))
     return comparable(rounded(minute.minute_rows_since(gold, SINCE), "total_revenue"))
 
 
@@ -629,8 +629,8 @@ def _(spark, sf_dir):
     return comparable(read_table(spark, lake.table("gold-daily-users")))
 
 
-# Every user number below 400 has an entry: a dictionary far larger than the shipped ones.
-_MANY_USERS = {f"user_{n:06d}": n * 7 for n in range(400)}
+# Every user number below 20,000 has an entry: a dictionary far larger than the shipped ones.
+_MANY_USERS = {f"user_{n:06d}": n * 7 for n in range(20_000)}
 
 
 @query("rule_mapping_large")

@@ -371,3 +371,34 @@ def test_enriched_stream_adds_up_to_the_batch(spark, lake):
     batch = attribution.enrich(read_table(spark, purchases), read_table(spark, inits))
     expected = batch.filter(F.col("time") < (BASE + 1000) * 1000).select(*keys, "copies")
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_rows_without_a_user_are_never_kept(spark, lake):
+    """A third of the purchases lacks a user: they pass unmatched, and no state holds one."""
+    known = [((BASE + s) * 1000, f"u{s % 7}", 1.0) for s in range(0, 200)]
+    unknown = [((BASE + s) * 1000, None, float(s)) for s in range(0, 200, 2)]
+    last = [((BASE + 200 * 3600) * 1000, "z", 1.0)]
+    source, inits = lake.table("silver-purchase"), lake.table("silver-init")
+    spark.createDataFrame(known + unknown, PURCHASE).coalesce(1).write.parquet(source)
+    add_inits(spark, lake, [(0, "u1", "US"), (3, "u2", "UK"), (3, "u2", "UK")])
+
+    def streamed():
+        left, right = read_table_stream(spark, source, PURCHASE), read_table_stream(spark, inits, INIT)
+        return run(attribution.enrich(left, right), lake, "gold-enriched")
+
+    query = streamed()
+    joins = [op.numRowsTotal for p in query.recentProgress for op in p.stateOperators]
+    assert max(joins) <= len(known) + 2
+    state = spark.read.format("statestore").option("joinSide", "left").load(lake.checkpoint("gold-enriched"))
+    kept = state.select("value.*")
+    assert kept.count() > 0 and kept.filter("`user-id` is null").isEmpty()
+    out = read_table(spark, lake.table("gold-enriched"))
+    assert out.filter("`user-id` is null").count() == len(unknown)
+    spark.createDataFrame(last, PURCHASE).write.mode("append").parquet(source)
+    add_inits(spark, lake, [(200 * 3600, "z", "DE")])
+    streamed()
+    keys = ("time", "user-id", "country_name", "purchase_value")
+    found = read_table(spark, lake.table("gold-enriched")).groupBy(*keys).agg(F.sum("copies").alias("copies"))
+    batch = attribution.enrich(read_table(spark, source), read_table(spark, inits))
+    expected = batch.filter(F.col("time") < (BASE + 1000) * 1000).select(*keys, "copies")
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
