@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import SparkSession
 
@@ -21,7 +22,9 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("job", choices=("publish", "bronze", "silver", "gold", "daily", "report"))
     top.add_argument("--lake", required=True, help="folder of the tables and checkpoints")
     top.add_argument("--format", default=DEFAULT_FORMAT, help="table format, such as delta")
-    top.add_argument("--by-day", action="store_true", help="lay tables out in a folder per day")
+    top.add_argument("--flat", action="store_true", help="no folder per day in bronze and silver tables")
+    top.add_argument("--silver-by-type", action="store_true", help="a silver query and table for each event type")
+    top.add_argument("--files-per-batch", type=int, default=4, help="files of a micro-batch in each folder, at most")
     top.add_argument("--trigger", default="10 seconds", help=f"interval, or '{AVAILABLE_NOW}'")
     top.add_argument("--servers", help="Kafka servers to read from")
     top.add_argument("--topics", default=kafka.DEFAULT_TOPICS)
@@ -38,14 +41,13 @@ def parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     args = parser().parse_args(arguments)
-    lake = jobs.Lake(args.lake, args.format, args.by_day)
+    lake = jobs.Lake(args.lake, args.format, not args.flat, args.files_per_batch, not args.silver_by_type)
     if args.job == "daily":
         rows = jobs.run_daily(spark, lake, args.first, args.last, overwrite=not args.append)
         print(f"{rows} daily rows written")
         return
     if args.job == "report":
-        paths = {name: lake.table(name) for name in reports.select_tables(args.tables)}
-        reports.show(reports.report(spark, paths, args.tables, args.format))
+        reports.show(reports.report_on(partial(lake.read, spark), args.tables))
         return
     if args.job in ("publish", "bronze"):
         if not args.servers:

@@ -85,11 +85,9 @@ def mapping(df: DataFrame, field: str, params: Mapping[str, Any]) -> DataFrame:
     in_place = source_name == field and not default
     text = in_place and isinstance(df.schema[source_name].dataType, T.StringType)
     kind = "string" if text else _value_type([*entries.values(), *([default] if default else [])])
-    key = source.cast("string")
-    table = _dictionary(entries, kind, key)
-    # An entry may itself map to null, so its presence decides.
-    found = F.map_contains_key(table, key)
-    return df.withColumn(field, F.when(found, F.try_element_at(table, key)).otherwise(fallback))
+    found = _looked_up(entries, kind, source.cast("string"))
+    # An entry may itself map to null, so its presence decides. The literal stands in the plan once.
+    return df.withColumn(field, F.coalesce(found, F.struct(fallback.alias("value")))["value"])
 
 
 def _value_type(values: Iterable[Any]) -> str:
@@ -108,19 +106,21 @@ def _value_type(values: Iterable[Any]) -> str:
     return "bigint" if any(abs(value) >= 1 << 31 for value in values) else "int"
 
 
-def _dictionary(entries: Mapping[Any, Any], kind: str, key: Column) -> Column:
-    """The part of a dictionary that a text key can be in, as a small map; keys are compared as text.
+def _looked_up(entries: Mapping[Any, Any], kind: str, key: Column) -> Column:
+    """The entry of a text key as a struct with ``value``, null without one; keys are compared as text.
 
-    The entries are one literal, an array of as many maps as there are entries. CRC-32, which Python
+    The entries are one literal, an array of as many small maps as there are entries. CRC-32, which Python
     and Spark compute alike, says which map a key is in, so a lookup looks at one entry or two
-    whatever their number. A null key has no map.
+    whatever their number. A null key has no entry.
     """
     parts: list[dict[str, Any]] = [{} for _ in entries]
     for entry, value in entries.items():
         text = _text(entry)
-        parts[zlib.crc32(text.encode()) % len(parts)][text] = _text(value) if kind == "string" else value
-    table = F.from_json(F.lit(json.dumps(parts)), f"array<map<string,{kind}>>")
-    return F.get(table, (F.crc32(key.cast("binary")) % len(parts)).cast("int"))
+        shown = _text(value) if kind == "string" else value
+        parts[zlib.crc32(text.encode()) % len(parts)][text] = {"value": shown}
+    table = F.from_json(F.lit(json.dumps(parts)), f"array<map<string,struct<value:{kind}>>>")
+    part = F.get(table, (F.crc32(key.cast("binary")) % len(parts)).cast("int"))
+    return F.try_element_at(part, key)
 
 
 def _text(value: Any) -> str | None:
@@ -134,8 +134,7 @@ reset_rules()
 
 def map_values(source: Column, entries: Mapping[str, str]) -> Column:
     """Lookup in a literal dictionary; a value without an entry becomes null."""
-    key = source.cast("string")
-    return F.try_element_at(_dictionary(entries, _value_type(entries.values()), key), key)
+    return _looked_up(entries, _value_type(entries.values()), source.cast("string"))["value"]
 
 
 def apply_rules(df: DataFrame, rules: Iterable[Mapping[str, Any]] | None) -> DataFrame:

@@ -28,13 +28,11 @@ from eventlake.streaming.jobs import (
     run_gold,
     run_publish,
     run_silver,
-    run_silver_fan_out,
 )
 from eventlake.streaming.progress import logged_progress
 from eventlake.streaming.sinks import (
     AVAILABLE_NOW,
     append_stream,
-    read_fan_out,
     state_settings,
 )
 from eventlake.streaming.supervise import await_all
@@ -481,8 +479,8 @@ for _table in _SAMPLE_ORDER:
 # --- streams --------------------------------------------------------------------
 
 
-def _lake(spark: SparkSession) -> Lake:
-    return Lake(scratch_dir(spark, "lake"))
+def _lake(spark: SparkSession, **settings) -> Lake:
+    return Lake(scratch_dir(spark, "lake"), **settings)
 
 
 def _state_partitions(spark: SparkSession) -> int:
@@ -490,15 +488,15 @@ def _state_partitions(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def _ingest(spark: SparkSession, sf_dir: str) -> Lake:
-    lake = _lake(spark)
+def _ingest(spark: SparkSession, sf_dir: str, **settings) -> Lake:
+    lake = _lake(spark, **settings)
     await_all([run_bronze(kafka_rows(stream_events(spark, sf_dir)), lake, AVAILABLE_NOW)])
     return lake
 
 
-def _silver_lake(spark: SparkSession, sf_dir: str, *tables: str) -> Lake:
-    """Run bronze, then the silver streams of the given tables."""
-    lake = _ingest(spark, sf_dir)
+def _silver_lake(spark: SparkSession, sf_dir: str, *tables: str, **settings) -> Lake:
+    """Run bronze, then the silver job for the given tables."""
+    lake = _ingest(spark, sf_dir, **settings)
     kinds = [default_event_types()[table] for table in tables]
     await_all(run_silver(spark, lake, AVAILABLE_NOW, kinds))
     return lake
@@ -506,12 +504,13 @@ def _silver_lake(spark: SparkSession, sf_dir: str, *tables: str) -> Lake:
 
 @query("bronze_ingest")
 def _(spark, sf_dir):
-    return comparable(read_table(spark, _ingest(spark, sf_dir).table("bronze")))
+    return comparable(_ingest(spark, sf_dir).read(spark, "bronze").drop("event_date"))
 
 
 def _silver_stream(spark, sf_dir, table: str) -> DataFrame:
-    lake = _silver_lake(spark, sf_dir, table)
-    return comparable(read_table(spark, lake.table(f"silver-{table}")))
+    """A table with a query of its own, in one folder."""
+    lake = _silver_lake(spark, sf_dir, table, by_day=False, shared_silver=False)
+    return comparable(lake.read(spark, f"silver-{table}"))
 
 
 for _table in ("init", "match", "purchase"):
@@ -521,10 +520,9 @@ for _table in ("init", "match", "purchase"):
 @query("silver_fan_out_stream")
 def _(spark, sf_dir):
     """All silver tables from one query; row counts by table."""
-    lake = _ingest(spark, sf_dir)
-    await_all([run_silver_fan_out(spark, lake, AVAILABLE_NOW)])
+    lake = _silver_lake(spark, sf_dir, "init", "match", "purchase", files_per_batch=1)
     names = ("silver-init", "silver-match", "silver-purchase")
-    return reports.row_counts({name: read_table(spark, lake.table(name)) for name in names})
+    return reports.row_counts({name: lake.read(spark, name) for name in names})
 
 
 def _gold_stream(spark, sf_dir, name: str, tables: Sequence[str]) -> DataFrame:
@@ -601,9 +599,8 @@ def _(spark, sf_dir):
 
 
 def _fan_out(spark, sf_dir, table: str) -> DataFrame:
-    lake = _ingest(spark, sf_dir)
-    await_all([run_silver_fan_out(spark, lake, AVAILABLE_NOW)])
-    return comparable(read_fan_out(read_table(spark, lake.table(f"silver-{table}"))))
+    lake = _silver_lake(spark, sf_dir, "init", "match", "purchase", files_per_batch=1)
+    return comparable(lake.read(spark, f"silver-{table}").drop("event_date"))
 
 
 for _table in ("init", "match", "purchase"):
@@ -622,9 +619,7 @@ def _(spark, sf_dir):
 @query("daily_job")
 def _(spark, sf_dir):
     """The daily batch over a silver table laid out by day."""
-    lake = Lake(scratch_dir(spark, "lake"), by_day=True, files_per_batch=2)
-    await_all([run_bronze(kafka_rows(stream_events(spark, sf_dir)), lake, AVAILABLE_NOW)])
-    await_all(run_silver(spark, lake, AVAILABLE_NOW, [default_event_types()["init"]]))
+    lake = _silver_lake(spark, sf_dir, "init", "match", "purchase")
     run_daily(spark, lake, *RANGE)
     return comparable(read_table(spark, lake.table("gold-daily-users")))
 

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventlake.sources.tables import DEFAULT_FORMAT, try_read_table
+from eventlake.sources.tables import DEFAULT_FORMAT, read_table, try_read
 
 log = logging.getLogger(__name__)
 
@@ -177,9 +177,16 @@ def report(
     fmt: str = DEFAULT_FORMAT,
 ) -> dict[str, dict[str, DataFrame]]:
     """Report DataFrames per table; missing or unreadable tables are skipped."""
+    return report_on(lambda name: read_table(spark, paths[name], fmt), tables)
+
+
+def report_on(
+    read: Callable[[str], DataFrame], tables: Iterable[str] | None = None
+) -> dict[str, dict[str, DataFrame]]:
+    """The same over tables that ``read`` gives by name."""
     found = {}
     for name in select_tables(tables):
-        df = try_read_table(spark, paths[name], fmt)
+        df = try_read(lambda: read(name), name)
         if df is not None:
             found[name] = table_reports(name, df)
     return found

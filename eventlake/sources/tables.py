@@ -6,6 +6,7 @@ import logging
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -34,12 +35,17 @@ def try_read_table(
     spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT
 ) -> DataFrame | None:
     """Like :func:`read_table`, but a missing or unreadable table is logged and skipped."""
+    return try_read(lambda: read_table(spark, path, fmt), path)
+
+
+def try_read(read: Callable[[], DataFrame], name: str) -> DataFrame | None:
+    """What ``read`` gives; None, with a log entry, where the table is missing or unreadable."""
     try:
-        return read_table(spark, path, fmt)
+        return read()
     except AnalysisException as error:
-        log.warning("table not found at %s: %s", path, error)
+        log.warning("table not found at %s: %s", name, error)
     except (PySparkException, Py4JJavaError) as error:
-        log.warning("cannot read table at %s: %s", path, error)
+        log.warning("cannot read table at %s: %s", name, error)
     return None
 
 

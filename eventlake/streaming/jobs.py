@@ -8,6 +8,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from eventlake.functions.event_time import event_timestamp
 from eventlake.operators.attribution import WATERMARK_DELAY
@@ -21,7 +22,7 @@ from eventlake.operators.minute import (
     minute_purchases_by_country,
     minute_revenue_by_product,
 )
-from eventlake.operators.silver import to_silver
+from eventlake.operators.silver import TABLE, to_shared_silver, to_shared_values, to_silver
 from eventlake.operators.validity import observe_validity, route_topics, validate_events
 from eventlake.plans.event_types import EventType, default_event_types
 from eventlake.schemas import BRONZE_DDL
@@ -29,7 +30,6 @@ from eventlake.sources.kafka import kafka_sink_options
 from eventlake.sources.tables import DEFAULT_FORMAT, read_table, read_table_stream
 from eventlake.streaming.sinks import (
     append_stream,
-    fan_out_stream,
     publish_stream,
     state_settings,
     triggered,
@@ -43,37 +43,82 @@ class Lake:
 
     ``by_day`` lays bronze and silver tables out in one folder per day of the message or
     event, in a further column ``event_date``; late events go to their own day.
-    ``files_per_batch`` bounds the files that a micro-batch adds to each folder.
+    ``files_per_batch`` bounds the files that a micro-batch adds to each folder. ``shared_silver`` keeps all silver rows
+    in one table with a folder for each event type, written by one query that parses bronze once;
+    without it there are a query and a table for each type.
     """
 
     root: str
     fmt: str = DEFAULT_FORMAT
-    by_day: bool = False
-    files_per_batch: int | None = None
+    by_day: bool = True
+    files_per_batch: int | None = 4
+    shared_silver: bool = True
 
     def table(self, name: str) -> str:
         layer, _, table = name.partition("-")
         return f"{self.root}/{layer}/{table.replace('-', '_') or 'events'}"
 
+    def _shared(self, name: str) -> bool:
+        return self.shared_silver and name.startswith("silver-")
+
+    def _holder(self, name: str) -> str:
+        """The folder with a table's rows."""
+        return self.table("silver" if self._shared(name) else name)
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name.replace('-', '_')}"
 
+    def _of(self, df: DataFrame, name: str, columns: Sequence[str] | None) -> DataFrame:
+        if self._shared(name):
+            df = df.filter(F.col(TABLE) == name.removeprefix("silver-")).drop(TABLE)
+            if columns:
+                df = df.select(*(F.col(f"`{c}`") for c in df.columns if c in {*columns, "event_date"}))
+        return df
+
+    def read(self, spark: SparkSession, name: str, event_types: Sequence[EventType] | None = None) -> DataFrame:
+        """A table, a silver one with the columns of its type; days and types not asked for are never listed."""
+        return self._of(read_table(spark, self._holder(name), self.fmt), name, _columns(spark, name, event_types))
+
+    def read_stream(
+        self,
+        spark: SparkSession,
+        name: str,
+        max_files_per_trigger: int | None = None,
+        event_types: Sequence[EventType] | None = None,
+    ) -> DataFrame:
+        """A table as a stream; bronze and silver tables need not have rows yet, only exist."""
+        kinds = {t.silver_table: t for t in event_types or default_event_types().values()}
+        layer, _, table = name.partition("-")
+        schema = BRONZE_DDL if layer == "bronze" else None
+        if layer == "silver" and table in kinds:
+            schema = silver_schema(spark, kinds[table])
+            if self.shared_silver:
+                schema = StructType([*schema.fields, StructField(TABLE, StringType())])
+        stream = read_table_stream(spark, self._holder(name), schema, self.fmt, max_files_per_trigger)
+        return self._of(stream, name, None)
+
     def append(self, df: DataFrame, name: str, trigger: str) -> StreamingQuery:
-        days: tuple[str, ...] = ()
+        folders: tuple[str, ...] = (TABLE,) if TABLE in df.columns else ()
         if self.by_day and not name.startswith("gold"):
             time = "kafka_timestamp" if name == "bronze" else event_timestamp()
-            df, days = df.withColumn("event_date", F.to_date(time)), ("event_date",)
+            df, folders = df.withColumn("event_date", F.to_date(time)), (*folders, "event_date")
         return append_stream(
             df,
             self.table(name),
             self.checkpoint(name),
             trigger,
             self.fmt,
-            partition_by=days,
+            partition_by=folders,
             files_per_batch=self.files_per_batch,
         )
 
 
+def _columns(spark: SparkSession, name: str, event_types: Sequence[EventType] | None) -> list[str] | None:
+    """Columns of a silver table by its event type; None for other tables and types not known."""
+    kinds = {f"silver-{t.silver_table}": t for t in event_types or default_event_types().values()}
+    return silver_schema(spark, kinds[name]).names if name in kinds else None
+
+
 @dataclass(frozen=True)
 class KafkaTarget:
     servers: str
@@ -121,11 +166,22 @@ def run_daily(
     overwrite: bool = True,
 ) -> int:
     """The daily batch: inits of one day (default yesterday) or a range to gold rows; returns their number."""
-    inits = read_table(spark, lake.table("silver-init"), lake.fmt)
+    inits = lake.read(spark, "silver-init")
     daily = daily_users(inits, first, last)
     return write_daily(daily, lake.table("gold-daily-users"), lake.fmt, overwrite)
 
 
+def _counters(silver: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """Counts each table's rows, and those whose time no window or day can hold, as ``silver`` of the progress."""
+    counts = []
+    for table in tables:
+        mine = F.col(TABLE) == table if TABLE in silver.columns else F.lit(True)
+        prefix = f"{table}_" if TABLE in silver.columns else ""
+        counts.append(F.count_if(mine).alias(f"{prefix}rows"))
+        counts.append(F.count_if(mine & event_timestamp().isNull()).alias(f"{prefix}untimed"))
+    return silver.observe("silver", *counts)
+
+
 def run_silver(
     spark: SparkSession,
     lake: Lake,
@@ -134,58 +190,34 @@ def run_silver(
     kafka: KafkaTarget | None = None,
     max_files_per_trigger: int | None = None,
 ) -> list[StreamingQuery]:
-    """One query per event type and sink.
+    """All silver tables from one query that parses each bronze row once, and one more for Kafka.
+
+    A micro-batch is one write, by type and day, that Spark's file sink (or the table format) commits as a whole. In a
+    lake without a shared silver table there is a query per event type and sink.
 
     The progress counts each table's rows, and those whose time no window or day can hold, as
-    ``silver``.
+    ``silver``: ``init_rows``, ``init_untimed`` and so on, without a prefix where each table has its query.
     """
-    bronze = read_table_stream(
-        spark, lake.table("bronze"), BRONZE_DDL, lake.fmt, max_files_per_trigger
-    )
+    kinds = list(event_types or default_event_types().values())
+    bronze = lake.read_stream(spark, "bronze", max_files_per_trigger)
     starters: list[Callable[[], StreamingQuery | None]] = []
-    for event_type in event_types or default_event_types().values():
-        name = f"silver-{event_type.silver_table}"
-        silver = to_silver(bronze, event_type).observe(
-            "silver",
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(event_timestamp().isNull()).alias("untimed"),
-        )
-        starters.append(partial(lake.append, silver, name, trigger))
+
+    def add(name: str, rows: DataFrame, values: DataFrame, tables: Sequence[str]) -> None:
+        starters.append(partial(lake.append, _counters(rows, tables), name, trigger))
         if kafka:
-            starters.append(
-                partial(
-                    publish_stream,
-                    silver,
-                    kafka.servers,
-                    kafka.topic,
-                    lake.checkpoint(name),
-                    trigger,
-                )
-            )
+            target = (kafka.servers, kafka.topic, lake.checkpoint(name))
+            starters.append(partial(publish_stream, values, *target, trigger))
+
+    if lake.shared_silver:
+        values = to_shared_values(bronze, kinds)
+        add("silver", to_shared_silver(bronze, kinds), values, [t.silver_table for t in kinds])
+    else:
+        for event_type in kinds:
+            rows = to_silver(bronze, event_type)
+            add(f"silver-{event_type.silver_table}", rows, rows, [event_type.silver_table])
     return start_all(starters)
 
 
-def run_silver_fan_out(
-    spark: SparkSession,
-    lake: Lake,
-    trigger: str = "10 seconds",
-    event_types: Sequence[EventType] | None = None,
-    kafka: KafkaTarget | None = None,
-) -> StreamingQuery:
-    """All silver tables from one query that parses each bronze row once.
-
-    Its file tables have two more folder columns; ``read_fan_out`` drops them.
-    """
-    bronze = read_table_stream(spark, lake.table("bronze"), BRONZE_DDL, lake.fmt)
-    targets = {
-        lake.table(f"silver-{event_type.silver_table}"): event_type
-        for event_type in event_types or default_event_types().values()
-    }
-    checkpoint = lake.checkpoint("silver-fan-out")
-    options = kafka and kafka_sink_options(kafka.servers, kafka.topic, checkpoint)
-    return fan_out_stream(bronze, targets, checkpoint, trigger, lake.fmt, options)
-
-
 def silver_schema(spark: SparkSession, event_type: EventType):
     """Schema of a silver table before its first row exists."""
     return to_silver(spark.createDataFrame([], BRONZE_DDL), event_type).schema
@@ -206,16 +238,8 @@ def run_gold(
     ``only`` picks tables by name; the default is the four standard ones.
     ``minute-revenue-by-product`` is available on request.
     """
-    kinds = default_event_types()
-
     def silver(table: str) -> DataFrame:
-        return read_table_stream(
-            spark,
-            lake.table(f"silver-{table}"),
-            silver_schema(spark, kinds[table]),
-            lake.fmt,
-            max_files_per_trigger,
-        )
+        return lake.read_stream(spark, f"silver-{table}", max_files_per_trigger)
 
     def by_country(function: Callable[..., DataFrame], table: str) -> DataFrame:
         return function(silver(table), silver("init"), window=window, delay=delay)

@@ -1,15 +1,14 @@
-"""Starting streaming queries: table, Kafka and multi-table sinks."""
+"""Starting streaming queries: table and Kafka sinks."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from eventlake.operators.silver import clean, parse_events, to_kafka_value
-from eventlake.plans.event_types import EventType
+from eventlake.operators.silver import to_kafka_value
 from eventlake.sources.kafka import kafka_sink_options
 from eventlake.sources.tables import DEFAULT_FORMAT
 
@@ -52,6 +51,12 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
                 spark.conf.set(key, value)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever file system the path names."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)
+
+
 def append_stream(
     df: DataFrame,
     path: str,
@@ -66,9 +71,17 @@ def append_stream(
 
     New columns are merged by table formats that support it; file tables merge on read.
     ``partition_by`` lays the table out in folders. ``files_per_batch`` gathers a micro-batch
-    into so many files at most, in each folder if there are any, instead of one for each task.
+    into so many files at most, in each folder if there are any, instead of one for each task; folders
+    are written by all cores. A new checkpoint over a file table that another one has written is refused: Spark's
+    file sink knows batches by number and would take the new ones for repeated ones.
     """
-    if files_per_batch:
+    spark = df.sparkSession
+    if fmt != "delta" and _exists(spark, f"{path}/_spark_metadata") and not _exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{path} was written under another checkpoint than {checkpoint}")
+    if files_per_batch and partition_by:
+        part = F.pmod(F.xxhash64(*(F.col(f"`{name}`") for name in df.columns)), F.lit(files_per_batch))
+        df = df.repartition(spark.sparkContext.defaultParallelism, *partition_by, part)
+    elif files_per_batch:
         df = df.repartition(files_per_batch)
     writer = (
         df.writeStream.format(fmt)
@@ -91,82 +104,14 @@ def publish_stream(
     trigger: str = "10 seconds",
     enabled: bool = True,
 ) -> StreamingQuery | None:
-    """Publish silver rows as JSON, with a checkpoint apart from the table's."""
+    """Publish silver rows as JSON, or the values made of them, with a checkpoint apart from the table's."""
     if not enabled:
         return None
+    values = silver if silver.columns == ["value"] else to_kafka_value(silver)
     writer = (
-        to_kafka_value(silver)
+        values
         .writeStream.format("kafka")
         .outputMode("append")
         .options(**kafka_sink_options(servers, topic, f"{checkpoint}_kafka"))
     )
     return triggered(writer, trigger).start()
-
-
-# Folders of a fan-out's file tables: the query that wrote them and its micro-batch.
-RUN_COLUMNS = ("_run", "_batch")
-_QUERY_ID = "sql.streaming.queryId"
-
-
-def _complete(spark: SparkSession, path: str) -> bool:
-    """Whether an earlier attempt has finished writing this folder."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(marker)
-
-
-def batch_fan_out(
-    targets: Mapping[str, EventType],
-    run: str | None = None,
-    fmt: str = DEFAULT_FORMAT,
-    kafka_options: Mapping[str, str] | None = None,
-) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body that parses a bronze batch once and writes every type.
-
-    A batch is known by the query's id, which lives as long as its checkpoint, and its
-    number. Delta tables skip a pair they have seen. File tables get a folder for each pair:
-    a new checkpoint never touches older folders, and a folder that an earlier attempt
-    finished is left as it is, so nobody reads its rows twice under new file names. ``run`` stands
-    in for the id outside a stream. Kafka gets rows of a repeated batch again.
-    """
-
-    def write(bronze: DataFrame, batch_id: int) -> None:
-        spark = bronze.sparkSession
-        name = run or spark.sparkContext.getLocalProperty(_QUERY_ID)
-        if not name:
-            raise ValueError("outside a stream a fan-out needs a run id")
-        parsed = parse_events(bronze).filter(F.col("event-type").isNotNull()).persist()
-        try:
-            for path, event_type in targets.items():
-                rows = clean(parsed, event_type)
-                if fmt == "delta":
-                    marks = {"txnAppId": name, "txnVersion": str(batch_id), "mergeSchema": "true"}
-                    rows.write.format(fmt).options(**marks).mode("append").save(path)
-                else:
-                    folder = f"{path}/{RUN_COLUMNS[0]}={name}/{RUN_COLUMNS[1]}={batch_id}"
-                    if not _complete(spark, folder):
-                        rows.write.format(fmt).mode("overwrite").save(folder)
-                if kafka_options:
-                    to_kafka_value(rows).write.format("kafka").options(**kafka_options).save()
-        finally:
-            parsed.unpersist()
-
-    return write
-
-
-def fan_out_stream(
-    bronze: DataFrame,
-    targets: Mapping[str, EventType],
-    checkpoint: str,
-    trigger: str = "10 seconds",
-    fmt: str = DEFAULT_FORMAT,
-    kafka_options: Mapping[str, str] | None = None,
-) -> StreamingQuery:
-    """One query for all silver tables (path -> event type) instead of one per table."""
-    body = batch_fan_out(targets, fmt=fmt, kafka_options=kafka_options)
-    writer = bronze.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
-    return triggered(writer, trigger).start()
-
-
-def read_fan_out(df: DataFrame) -> DataFrame:
-    """A fan-out's table with the schema of the one-query-per-table form."""
-    return df.drop(*RUN_COLUMNS)
