@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import pickle
 import re
 import tempfile
 import uuid
@@ -11,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Text handled at once inside a task; longer single texts are handled alone.
@@ -56,6 +58,20 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Shipped:
+    """An object for all tasks, broadcast by value: workers need no copy of the modules of this package."""
+
+    def __init__(self, spark: SparkSession, thing: object):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+
+    @property
+    def value(self):
+        # A worker keeps the broadcast between tasks, and so what it unpacks to.
+        if not hasattr(self._sent, "opened"):
+            self._sent.opened = pickle.loads(self._sent.value)
+        return self._sent.opened
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the column as text, modulo the divisor; null stays null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
@@ -133,14 +149,24 @@ def byte_blocks(batch: pa.RecordBatch, at: int, limit: int = BLOCK_BYTES) -> Ite
         yield batch.slice(start, end - start)
 
 
+#: The largest place that :func:`hash_slot` gives.
+LAST_SLOT = 2**63 - 1
+
+
 def sampled_share(rows: int, wanted: int) -> int:
-    """How many of 65,536 hash values to keep so that about ``wanted`` of ``rows`` stay."""
-    return 65536 if rows <= wanted else max(1, -(-wanted * 65536 // rows))
+    """The last place to keep so that about ``wanted`` of ``rows`` stay, at every number of rows."""
+    return LAST_SLOT if rows <= wanted else wanted * (LAST_SLOT + 1) // rows
+
+
+def _place(hashed: Column) -> Column:
+    """A 64-bit hash as a number from 0 to ``LAST_SLOT``, its low bits first."""
+    low = F.shiftleft(hashed.bitwiseAND(F.lit(0xFFFF).cast("long")), 47)
+    return low.bitwiseOR(F.shiftrightunsigned(hashed, 17))
 
 
 def hash_slot(*columns: Column) -> Column:
-    """A row's place among 65,536 hash values."""
-    return F.pmod(F.xxhash64(*columns), F.lit(65536))
+    """A row's place among ``LAST_SLOT`` + 1."""
+    return _place(F.xxhash64(*columns))
 
 
 def _pieces(text: str, wanted: int) -> Column:
@@ -166,7 +192,6 @@ def sample_texts(rows: DataFrame, wanted: int) -> dict[str, list[bytes]]:
     size = F.least(F.octet_length("text"), F.lit(wanted)).cast("long")
     each = rows.groupBy("label", F.xxhash64("text").alias("hash")).agg(F.min(size).alias("n"))
     each = materialised(each)
-    slot = lambda hashed: F.pmod(hashed, F.lit(65536))
     totals = {r["label"]: r["n"] for r in each.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     if not totals:
         return {}
@@ -175,11 +200,11 @@ def sample_texts(rows: DataFrame, wanted: int) -> dict[str, list[bytes]]:
         F.create_map(*(x for label, n in shares.items() for x in (F.lit(label), F.lit(n)))), F.col("label")
     )
     while short:
-        held = each.filter(slot(F.col("hash")) < chosen()).groupBy("label").agg(F.sum("n").alias("n"))
+        held = each.filter(_place(F.col("hash")) <= chosen()).groupBy("label").agg(F.sum("n").alias("n"))
         held = {r["label"]: r["n"] for r in held.collect()}
-        short = [x for x in short if 2 * held.get(x, 0) < min(totals[x], wanted) and shares[x] < 65536]
-        shares |= {x: min(65536, 2 * shares[x]) for x in short}
-    taken = rows.filter(hash_slot(F.col("text")) < chosen()).select("label", "text").distinct()
+        short = [x for x in short if 2 * held.get(x, 0) < min(totals[x], wanted) and shares[x] < LAST_SLOT]
+        shares |= {x: min(LAST_SLOT, 2 * shares[x] + 1) for x in short}
+    taken = rows.filter(hash_slot(F.col("text")) <= chosen()).select("label", "text").distinct()
     found: dict[str, list[bytes]] = {}
     for label, text in taken.select("label", F.explode(_pieces("text", wanted))).collect():
         found.setdefault(label, []).append(text.encode())

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from eventlake.llm.common import map_blocks, remainder, sample_texts
+from eventlake.llm.common import Shipped, map_blocks, remainder, sample_texts
 from eventlake.llm.grams import ByteModel
 
 #: Bytes of context.
@@ -46,7 +46,7 @@ def identify(docs: DataFrame, languages: list[str], model: ByteModel | None, tex
     and texts without letters are ``und`` with score 0, as all are if nothing was learned.
     ``docs`` must not have columns of these three names.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((languages, model))
+    shared = Shipped(docs.sparkSession, (languages, model))
 
     def run(texts: list[bytes | None]) -> dict[str, pa.Array]:
         names, model = shared.value

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from eventlake.llm.common import byte_blocks, hash_slot, map_batches, map_blocks, remainder, sampled_share
+from eventlake.llm.common import Shipped, byte_blocks, hash_slot, map_batches, map_blocks, remainder, sampled_share
 
 #: Words are hashed to so many rows of the word-vector table.
 BUCKETS = 1 << 13
@@ -213,11 +213,11 @@ def learn(
     known = known.groupBy(F.col(key).alias("key")).agg(F.max(label).cast("double").alias("label"))
     slot = hash_slot(F.col("key"), F.lit("fit"))
     # About FIT_ROWS rows of two numbers, whatever the size of the tables.
-    few = known.filter(slot < sampled_share(known.count(), FIT_ROWS))
+    few = known.filter(slot <= sampled_share(known.count(), FIT_ROWS))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(few), "key")
     rows = rows.groupBy("key", "label").agg(F.min("text").alias("text"))
     rows = rows.withColumn("calibrate", F.pmod(slot, F.lit(5)) == 0)
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    shared = Shipped(docs.sparkSession, tables)
 
     def run(texts: list[bytes | None]) -> dict[str, pa.Array]:
         return {"x": pa.array(list(features(texts, shared.value)))}
@@ -233,7 +233,7 @@ def score(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
 
     Null texts count as empty ones. If no labels were known every score is one half.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    shared = Shipped(docs.sparkSession, scorer)
     return map_blocks(docs, text, lambda texts: {"score": pa.array(shared.value(texts))}, "score double")
 
 

@@ -10,7 +10,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-from eventlake.llm.common import byte_blocks, map_batches, refuse_clash
+from eventlake.llm.common import Shipped, byte_blocks, map_batches, refuse_clash
 from eventlake.llm.pieces import BPE, MARKER, MODEL_PATH, NORMAL, UNKNOWN, PieceModel
 
 #: Distinct parts that a task remembers before it starts afresh.
@@ -159,7 +159,7 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL_PATH) ->
     checked for every text, on its distinct parts. Null and empty texts have no ids. ``docs``
     must not have columns of these four names.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(PieceModel.load(model_path))
+    shared = Shipped(docs.sparkSession, PieceModel.load(model_path))
     keep = [name for name in docs.columns if name != text]
     refuse_clash(keep, ["ids", "n_tokens", "parity", "round_trip"])
     names = [*keep, "ids", "n_tokens", "parity", "round_trip"]
@@ -183,7 +183,7 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL_PATH) ->
 
 def decode(encoded: DataFrame, ids: str = "ids", model_path: str = MODEL_PATH) -> DataFrame:
     """All columns of ``encoded`` and ``decoded``, the text of its ids; null ids give null."""
-    shared = encoded.sparkSession.sparkContext.broadcast(PieceModel.load(model_path))
+    shared = Shipped(encoded.sparkSession, PieceModel.load(model_path))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema), "decoded string"])
     names = [*encoded.columns, "decoded"]
     refuse_clash(encoded.columns, ["decoded"])

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from eventlake.llm.common import byte_blocks, map_batches, refuse_clash
+from eventlake.llm.common import Shipped, byte_blocks, map_batches, refuse_clash
 from eventlake.llm.grams import Lookup
 from eventlake.llm.pieces import MARKER, MODEL_PATH, NORMAL, PieceModel
 
@@ -166,7 +166,7 @@ def count_tokens(docs: DataFrame, text: str = "text", model_path: str = MODEL_PA
     The piece scores of the model file serve as unigram scores. Null and empty texts have none.
     ``docs`` must not have columns of these two names.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(PieceModel.load(model_path))
+    shared = Shipped(docs.sparkSession, PieceModel.load(model_path))
     keep = [name for name in docs.columns if name != text]
     refuse_clash(keep, ["n_pretokens", "n_tokens"])
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text]

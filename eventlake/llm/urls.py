@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventlake.llm.common import map_blocks, sample_texts
+from eventlake.llm.common import Shipped, map_blocks, sample_texts
 from eventlake.llm.grams import ByteModel
 
 #: (verdict, host and path)
@@ -111,7 +111,7 @@ def filter_urls(
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("ruled", verdict)
     known = sample_texts(rows.select(F.col("ruled").alias("label"), F.col("url").alias("text")), sample_bytes)
-    shared = pages.sparkSession.sparkContext.broadcast(learn(known.get(ALLOW, []), known.get(BLOCK, [])))
+    shared = Shipped(pages.sparkSession, learn(known.get(ALLOW, []), known.get(BLOCK, [])))
 
     def run(urls: list[bytes | None]) -> dict[str, pa.Array]:
         model, texts = shared.value, [u or b"" for u in urls]

@@ -36,7 +36,7 @@ def clean_vectors(df: DataFrame, key: str, vector: str, zero: bool = True) -> Da
 def sample(rows: DataFrame, count: int) -> dict[int, np.ndarray]:
     """About ``SAMPLE_ROWS`` vectors by hash of the key, as a matrix for each dimension."""
     share = sampled_share(count, SAMPLE_ROWS)
-    found = rows.filter(hash_slot(F.col("vec_id"), F.lit("sample")) < share).select("d", "v").toPandas()
+    found = rows.filter(hash_slot(F.col("vec_id"), F.lit("sample")) <= share).select("d", "v").toPandas()
     return {int(d): np.stack(part["v"].to_numpy()) for d, part in found.groupby("d") if d}
 
 
