@@ -19,7 +19,7 @@ LEAST_DOCS = 3
 #: Terms returned of a group.
 TOP_TERMS = 200
 #: Counts (terms times groups) that a task holds at once.
-CELLS = 1 << 22
+CELLS = 1 << 20
 #: Different terms of a task after which their counts are passed on.
 HELD = 1 << 18
 #: A text is cut into words so many bytes at a time.
