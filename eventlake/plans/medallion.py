@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlake.operators.bronze import to_bronze
 from eventlake.operators.daily import distinct_users
@@ -13,7 +15,7 @@ from eventlake.operators.minute import (
     minute_purchases,
     minute_purchases_by_country,
 )
-from eventlake.operators.silver import clean, parse_events
+from eventlake.operators.silver import TABLE, clean, parse_events, to_shared_silver
 from eventlake.plans.event_types import default_event_types
 from eventlake.sources.tables import read_table
 
@@ -51,15 +53,20 @@ def layers(kafka: DataFrame, window: str = WINDOW, exact: bool = True) -> dict[s
 def written_layers(
     spark: SparkSession, kafka: DataFrame, root: str, window: str = WINDOW
 ) -> dict[str, DataFrame]:
-    """The same tables, each computed once from the written one before and read back."""
+    """The same tables, each computed once from the written one before and read back.
+
+    Silver is one write by type; the gold tables are independent jobs that share the cluster.
+    """
 
-    def written(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{root}/{name}")
+    def written(name: str, df: DataFrame, *folders: str) -> DataFrame:
+        df.write.partitionBy(*folders).parquet(f"{root}/{name}")
         return read_table(spark, f"{root}/{name}")
 
     bronze = written("bronze", to_bronze(kafka))
-    parsed = written("parsed", parse_events(bronze))
     kinds = default_event_types()
-    silver = {name: written(f"silver-{name}", clean(parsed, kind)) for name, kind in kinds.items()}
-    gold = {name: written(name, df) for name, df in gold_tables(silver, window).items()}
+    rows = written("silver", to_shared_silver(bronze, list(kinds.values())), TABLE)
+    silver = {name: rows.filter(F.col(TABLE) == name).drop(TABLE) for name in kinds}
+    tables = gold_tables(silver, window)
+    with ThreadPoolExecutor(len(tables)) as jobs:
+        gold = dict(zip(tables, jobs.map(written, tables, tables.values())))
     return {"bronze": bronze} | {f"silver-{name}": df for name, df in silver.items()} | gold

@@ -634,6 +634,22 @@ FROM checked GROUP BY ALL""",
         """
 SELECT cast(event_ts AS date) AS event_date, country_name, count(DISTINCT uid) AS distinct_users
 FROM init GROUP BY ALL"""
+    ),
+    "rollup_users_daily": _with(_DAILY.format(where="")),
+    "rollup_users_by_country": _with(
+        """
+SELECT cast(event_ts AS date) AS event_date, country_name, count(DISTINCT uid) AS distinct_users
+FROM init GROUP BY ALL"""
+    ),
+    "rollup_users_range": _with(
+        _DAILY.format(
+            where=f"WHERE cast(event_ts AS date) BETWEEN '{RANGE[0]}' AND '{RANGE[1]}'"
+        )
+    ),
+    "rollup_users_of_range": _with(
+        f"""
+SELECT country_name, count(DISTINCT uid) AS distinct_users
+FROM init WHERE cast(event_ts AS date) BETWEEN '{RANGE[0]}' AND '{RANGE[1]}' GROUP BY ALL"""
     ),
     "daily_users_write": _with(
         f"""

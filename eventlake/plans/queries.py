@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from eventlake.functions import rules
 from eventlake.functions.event_time import event_date, event_timestamp
 from eventlake.functions.preprocess import flatten_match
-from eventlake.operators import attribution, bronze, daily, minute, silver, validity
+from eventlake.operators import attribution, bronze, daily, minute, silver, user_rollup, validity
 from eventlake.plans import medallion, reports
 from eventlake.plans.event_types import default_event_types
 from eventlake.schemas import PROCESSING_TIME_COLUMNS
@@ -301,6 +301,29 @@ QUERIES["daily_users_write"] = partial(_daily_rerun, overwrite=False)
 QUERIES["daily_users_overwrite"] = partial(_daily_rerun, overwrite=True)
 
 
+# Inits of the earlier days reach the rollup first; the later days bring users that the dictionary lacks.
+_ROLLUP_CUT = "2024-01-12"
+_BY_DAY_AND_COUNTRY = ("event_date", "country_name")
+
+
+def _user_rollup(
+    spark, sf_dir, by: Sequence[str] = user_rollup.GROUPS, days: Sequence[str] = (None, None)
+) -> DataFrame:
+    """Distinct users from a rollup of bitmaps that was written in two steps."""
+    root = scratch_dir(spark, "user-rollup")
+    inits = _silver(spark, sf_dir, "init")
+    earlier = event_date() < F.lit(_ROLLUP_CUT).cast("date")
+    for part in (inits.filter(earlier), inits.filter(~earlier)):
+        user_rollup.write_user_rollup(spark, part, f"{root}/rollup", f"{root}/dictionary")
+    return user_rollup.users_from_rollup(read_table(spark, f"{root}/rollup"), by, *days)
+
+
+QUERIES["rollup_users_daily"] = _user_rollup
+QUERIES["rollup_users_by_country"] = partial(_user_rollup, by=_BY_DAY_AND_COUNTRY)
+QUERIES["rollup_users_range"] = partial(_user_rollup, days=RANGE)
+QUERIES["rollup_users_of_range"] = partial(_user_rollup, by=("country_name",), days=RANGE)
+
+
 @query("daily_rows_per_date")
 def _(spark, sf_dir):
     return daily.rows_per_date(daily.distinct_users(_silver(spark, sf_dir, "init")))
