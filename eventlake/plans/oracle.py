@@ -785,6 +785,15 @@ WHERE window_end <= (SELECT max(event_ts) FROM purchase) - INTERVAL 10 MINUTE"""
         _closed(_by_country(60, _MATCHES), "game", "init", extra=_LOOK_BACK),
         _GAMES,
     ),
+    "state_after_eviction": _with(
+        """
+SELECT uid AS "user", country_name, cast(epoch(event_ts) AS bigint) AS second, count(*) AS copies
+FROM init, (
+  SELECT least((SELECT max(event_ts) FROM init), (SELECT max(event_ts) FROM purchase)) - INTERVAL 10 MINUTE AS mark
+)
+WHERE event_ts >= mark - INTERVAL 24 HOUR AND event_ts + INTERVAL 1 SECOND <= mark
+GROUP BY ALL"""
+    ),
     "late_data_stream": _with(_LATE_BODY, _LATE),
     "stream_progress": _with(
         """
@@ -793,6 +802,7 @@ SELECT cast(count(*) AS bigint) AS input_rows, cast(0 AS bigint) AS late_rows,
 FROM purchase"""
     ),
     "silver_fan_out_init": _with(_silver("init")),
+    "compacted_days": _with(_silver("init")),
     "silver_fan_out_match": _with(_silver("match")),
     "silver_fan_out_purchase": _with(_silver("purchase")),
     "publish_valid_stream": _with(

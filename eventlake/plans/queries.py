@@ -29,7 +29,7 @@ from eventlake.streaming.jobs import (
     run_publish,
     run_silver,
 )
-from eventlake.streaming.progress import logged_progress
+from eventlake.streaming.progress import join_state, logged_progress
 from eventlake.streaming.sinks import (
     AVAILABLE_NOW,
     append_stream,
@@ -621,6 +621,17 @@ def _(spark, sf_dir):
     )
 
 
+@query("state_after_eviction")
+def _(spark, sf_dir):
+    """Init seconds that the purchases' join still keeps once it has seen everything."""
+    lake = _silver_lake(spark, sf_dir, "purchase", "init")
+    name = "minute-purchases-by-country"
+    await_all(run_gold(spark, lake, AVAILABLE_NOW, state_partitions=_state_partitions(spark), only=[name]))
+    kept = join_state(spark, lake.checkpoint(f"gold-{name}"))
+    second = F.unix_seconds("_init_moment").alias("second")
+    return kept.select(F.col("_init_user").alias("user"), "country_name", second, "copies")
+
+
 def _fan_out(spark, sf_dir, table: str) -> DataFrame:
     lake = _silver_lake(spark, sf_dir, "init", "match", "purchase", files_per_batch=1)
     return comparable(lake.read(spark, f"silver-{table}").drop("event_date"))
@@ -630,6 +641,21 @@ for _table in ("init", "match", "purchase"):
     QUERIES[f"silver_fan_out_{_table}"] = partial(_fan_out, table=_table)
 
 
+@query("compacted_days")
+def _(spark, sf_dir):
+    """Silver inits of which most days were compacted, one of them twice as rows came late."""
+    lake = _lake(spark, files_per_batch=3)
+    rows = kafka_rows(read_events(spark, sf_dir))
+    late = (F.col("offset") % 5 == 0) & (F.col("timestamp") < F.lit(f"{DAY} 00:00:00").cast("timestamp"))
+    days = rows.agg(F.min("timestamp").cast("date").cast("string")).first()[0], DAY
+    for arrived in (~late, late):
+        # Written as the bronze job would, so that each step is a micro-batch of the silver job.
+        bronze.to_bronze(rows.filter(arrived)).write.mode("append").parquet(lake.table("bronze"))
+        await_all(run_silver(spark, lake, AVAILABLE_NOW))
+        lake.compact(spark, "silver-init", *days)
+    return comparable(lake.read(spark, "silver-init").drop("event_date"))
+
+
 @query("publish_valid_stream")
 def _(spark, sf_dir):
     """Valid messages of a stream that holds broken ones, by topic; a table stands in for Kafka."""

@@ -49,6 +49,12 @@ def try_read(read: Callable[[], DataFrame], name: str) -> DataFrame | None:
     return None
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever file system the path names."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)
+
+
 def read_table_stream(
     spark: SparkSession,
     path: str,

@@ -27,7 +27,8 @@ from eventlake.operators.validity import observe_validity, route_topics, validat
 from eventlake.plans.event_types import EventType, default_event_types
 from eventlake.schemas import BRONZE_DDL
 from eventlake.sources.kafka import kafka_sink_options
-from eventlake.sources.tables import DEFAULT_FORMAT, read_table, read_table_stream
+from eventlake.sources.tables import DEFAULT_FORMAT, read_table_stream
+from eventlake.streaming.compaction import compact_days, read_compacted
 from eventlake.streaming.sinks import (
     append_stream,
     publish_stream,
@@ -76,8 +77,15 @@ class Lake:
         return df
 
     def read(self, spark: SparkSession, name: str, event_types: Sequence[EventType] | None = None) -> DataFrame:
-        """A table, a silver one with the columns of its type; days and types not asked for are never listed."""
-        return self._of(read_table(spark, self._holder(name), self.fmt), name, _columns(spark, name, event_types))
+        """A table, a silver one with the columns of its type; days and types not asked for are never read."""
+        df = read_compacted(spark, self._holder(name), self.fmt)
+        return self._of(df, name, _columns(spark, name, event_types))
+
+    def compact(self, spark: SparkSession, name: str, first: Day, last: Day | None = None) -> int:
+        """Rewrite the small files of some days of a bronze or silver table; returns how many."""
+        if not self.by_day:
+            raise ValueError("only tables laid out by day are compacted")
+        return compact_days(spark, self._holder(name), first, last, self.fmt)
 
     def read_stream(
         self,

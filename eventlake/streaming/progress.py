@@ -90,6 +90,17 @@ class ProgressLog(StreamingQueryListener):
             self._append(self.spark.createDataFrame(failed, FAILURES_DDL), self.failures)
 
 
+def join_state(spark: SparkSession, checkpoint: str, side: str = "right") -> DataFrame:
+    """What a stopped query's join keeps of one side: the columns of its rows.
+
+    After an interval join this is what a restart can still match.
+    """
+    operators = spark.read.format("state-metadata").load(checkpoint)
+    [join] = operators.filter("operatorName = 'symmetricHashJoin'").select("operatorId").distinct().collect()
+    state = spark.read.format("statestore").option("operatorId", join["operatorId"]).option("joinSide", side)
+    return state.load(checkpoint).select("value.*")
+
+
 @contextmanager
 def logged_progress(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> Iterator[ProgressLog]:
     """Log every query of the session while the block runs; afterwards all rows are in the table."""

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from eventlake.operators.silver import to_kafka_value
 from eventlake.sources.kafka import kafka_sink_options
-from eventlake.sources.tables import DEFAULT_FORMAT
+from eventlake.sources.tables import DEFAULT_FORMAT, path_exists
 
 # Trigger value that processes what is there and stops; anything else is an interval.
 AVAILABLE_NOW = "available now"
@@ -51,12 +51,6 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
                 spark.conf.set(key, value)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a file or folder, in whatever file system the path names."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)
-
-
 def append_stream(
     df: DataFrame,
     path: str,
@@ -76,7 +70,7 @@ def append_stream(
     file sink knows batches by number and would take the new ones for repeated ones.
     """
     spark = df.sparkSession
-    if fmt != "delta" and _exists(spark, f"{path}/_spark_metadata") and not _exists(spark, f"{checkpoint}/metadata"):
+    if fmt != "delta" and path_exists(spark, f"{path}/_spark_metadata") and not path_exists(spark, f"{checkpoint}/metadata"):
         raise ValueError(f"{path} was written under another checkpoint than {checkpoint}")
     if files_per_batch and partition_by:
         part = F.pmod(F.xxhash64(*(F.col(f"`{name}`") for name in df.columns)), F.lit(files_per_batch))
