@@ -29,14 +29,22 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from these and ``labels``."""
+    """Documents that the quality classifier accepts; it learns from these and ``labels``.
+
+    Null and empty texts get a score like any other, long ones are read whole, repeated rows are judged alike;
+    without labels nothing is learned and all stay.
+    """
     scorer = quality.learn(docs, read(spark, sf_dir, "labels"))
     scored = quality.score(_marked(docs), scorer, _MARK + "text")
     return scored.filter(F.col("score") >= quality.THRESHOLD).select(*_unmarked(scored))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language: those without letters and the undecided go."""
+    """Documents in a known language: those without letters and the undecided go.
+
+    Null and empty texts have no letters, so they go, as all do where no language can be learned; long texts are read
+    whole, repeated rows judged alike.
+    """
     languages, model = language.learn(docs.filter(remainder("doc_id", 3) != 1))
     found = language.identify(_marked(docs), languages, model, _MARK + "text")
     known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LANGUAGE_SCORE)
@@ -56,7 +64,10 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, to the nearest whole number; without words never."""
+    """Each document as often as the mix takes it, to the nearest whole number; without words never.
+
+    So null and empty texts go. A null source is one like any other; repeated rows are taken each for itself.
+    """
     rows = _numbered(docs)
     plain = {_MARK + "text": "text", _MARK + "source": "source", _MARK + "doc_id": "id", "row": "row"}
     named = rows.select(*(F.col(old).alias(new) for old, new in plain.items()))
@@ -67,7 +78,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, ids, n_tokens, parity, round_trip) of every document."""
+    """(doc_id, lang, source, ids, n_tokens, parity, round_trip) of every document.
+
+    Null and empty texts have no ids; long texts are encoded whole, repeated rows each for itself.
+    """
     return sentencepieces.encode(docs.select("doc_id", "lang", "source", "text"))
 
 
