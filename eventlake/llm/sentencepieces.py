@@ -156,8 +156,9 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL_PATH) ->
 
     ``parity`` says whether sentencepiece itself gives the same ids, ``round_trip`` whether they
     decode to the text (a marker that stands in the text comes back as a space). Both are
-    checked for every text, on its distinct parts. Null and empty texts have no ids. ``docs``
-    must not have columns of these four names.
+    checked for every text, on its distinct parts. Null and empty texts have no ids, long
+    ones are encoded whole, repeated rows each for itself. Other columns stay; ``docs`` must not have columns of these four
+    names.
     """
     shared = Shipped(docs.sparkSession, PieceModel.load(model_path))
     keep = [name for name in docs.columns if name != text]

@@ -163,8 +163,9 @@ class TokenCounter:
 def count_tokens(docs: DataFrame, text: str = "text", model_path: str = MODEL_PATH) -> DataFrame:
     """All columns of ``docs`` but the text, ``n_pretokens`` and ``n_tokens`` of the whole text.
 
-    The piece scores of the model file serve as unigram scores. Null and empty texts have none.
-    ``docs`` must not have columns of these two names.
+    The piece scores of the model file serve as unigram scores. Null and empty texts have none,
+    long ones are counted whole, repeated rows each for itself. Other columns stay; ``docs`` must not have columns of these two
+    names.
     """
     shared = Shipped(docs.sparkSession, PieceModel.load(model_path))
     keep = [name for name in docs.columns if name != text]

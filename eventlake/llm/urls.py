@@ -103,7 +103,8 @@ def filter_urls(
     Where a rule fits, it decides. Other URLs are judged by two Witten-Bell smoothed byte
     models, learned from a bounded sample of the URLs that rules accept and reject: the
     difference of code lengths per byte, calibrated to a probability, blocks at one half or more.
-    Null URLs count as empty ones. Where the table holds no URL accepted by a rule, or none
+    Null URLs count as empty ones, long ones are judged whole, repeated rows alike; other columns are ignored. The rules'
+    verdicts are the labels, so the sample of labelled rows is bounded, by ``sample_bytes`` of each. Where the table holds no URL accepted by a rule, or none
     rejected, nothing can be learned and URLs without a rule are allowed, with null ``ratio``.
     """
     host, path = split_url(url)
