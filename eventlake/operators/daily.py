@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from eventlake.functions.event_time import between_days, event_date, iso_date, yesterday
+from eventlake.sources.schema_log import log_schema
 from eventlake.sources.tables import DEFAULT_FORMAT
 
 Day = str | dt.date
@@ -65,6 +66,8 @@ def write_daily(
     occur in ``daily`` and leaves the others alone.
     """
     written = Observation()
+    if fmt != "delta":
+        log_schema(daily.sparkSession, path, daily.schema)
     writer = (
         daily.hint("rebalance", F.col("event_date"))
         .observe(written, F.count(F.lit(1)).alias("rows"))

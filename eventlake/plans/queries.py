@@ -20,6 +20,7 @@ from eventlake.plans import medallion, reports
 from eventlake.plans.event_types import default_event_types
 from eventlake.schemas import PROCESSING_TIME_COLUMNS
 from eventlake.plans.event_feed import kafka_rows, read_events, stream_events
+from eventlake.sources.schema_log import append_table, read_logged
 from eventlake.sources.tables import read_table, scratch_dir
 from eventlake.streaming.jobs import (
     Lake,
@@ -143,10 +144,9 @@ def _(spark, sf_dir):
     path = scratch_dir(spark, "evolved")
     rows = _bronze(spark, sf_dir).select("kafka_offset", "kafka_topic", "kafka_timestamp")
     is_later = F.col("kafka_timestamp") >= F.lit(f"{DAY} 00:00:00").cast("timestamp")
-    rows.filter(~is_later).write.mode("append").parquet(path)
-    later = bronze.with_constant(rows.filter(is_later), "source_system", "game")
-    later.write.mode("append").parquet(path)
-    return comparable(read_table(spark, path, merge_schema=True))
+    append_table(rows.filter(~is_later), path)
+    append_table(bronze.with_constant(rows.filter(is_later), "source_system", "game"), path)
+    return comparable(read_logged(spark, path))
 
 
 # --- validation and routing -----------------------------------------------------

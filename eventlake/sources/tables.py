@@ -18,14 +18,16 @@ DEFAULT_FORMAT = "parquet"
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, merge_schema: bool = False
+    spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, merge_schema: bool = False, schema=None
 ) -> DataFrame:
     """Batch scan of a lake table.
 
     ``merge_schema`` unions the schemas of all files, so columns that appeared in
-    later appends show up as null in earlier rows.
+    later appends show up as null in earlier rows. It opens every file's footer; with a known ``schema`` none is.
     """
     reader = spark.read.format(fmt)
+    if schema:
+        reader = reader.schema(schema)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
     return reader.load(path)
@@ -55,6 +57,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)
 
 
+def side_table(path: str, name: str) -> str:
+    """A folder beside a table's, for what belongs to it without being rows of it."""
+    return f"{path.rstrip('/')}_{name}"
+
+
 def read_table_stream(
     spark: SparkSession,
     path: str,

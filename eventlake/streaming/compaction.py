@@ -15,20 +15,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlake.functions.event_time import iso_date
 from eventlake.operators.daily import Day
-from eventlake.sources.tables import DEFAULT_FORMAT, path_exists, read_table
+from eventlake.sources.schema_log import adopt, append_table, logged_schema, read_logged
+from eventlake.sources.tables import DEFAULT_FORMAT, path_exists, read_table, side_table
 
 MANIFEST_DDL = "event_date date, version string, files array<string>"
 _VERSION = "_version"
 
 
-def _side(path: str, name: str) -> str:
-    """A folder beside the table's."""
-    return f"{path.rstrip('/')}_{name}"
-
-
 def _compacted_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     """(versions, files they hold) of a table, as much as Spark keeps of its file listing."""
-    manifest = _side(path, "manifest")
+    manifest = side_table(path, "manifest")
     if not path_exists(spark, f"{manifest}/_SUCCESS"):
         return [], []
     rows = spark.read.schema(MANIFEST_DDL).parquet(manifest).collect()
@@ -42,11 +38,11 @@ def _left(df: DataFrame, files: list[str]) -> DataFrame:
 
 def read_compacted(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     """A table laid out by day, from compacted files where there are any."""
-    live = read_table(spark, path, fmt)
+    live = read_logged(spark, path, fmt)
     versions, files = _compacted_files(spark, path) if fmt != "delta" else ([], [])
     if not versions:
         return live
-    compacted = read_table(spark, _side(path, "compacted"), fmt)
+    compacted = read_logged(spark, side_table(path, "compacted"), fmt)
     compacted = compacted.filter(F.col(_VERSION).isin(versions)).drop(_VERSION)
     return _left(live, files).unionByName(compacted, allowMissingColumns=True)
 
@@ -56,12 +52,12 @@ def compact_days(
 ) -> int:
     """Rewrite the files of some days (inclusive) that no earlier compaction holds; returns their number.
 
-    Rows are gathered by folder and cut into files of about the session's advisory partition size. One compaction of a table
-    may run at a time; streams may write and others read meanwhile.
+    Rows are gathered by folder and cut into files of about the session's advisory partition size. All columns that any file has
+    are kept. One compaction of a table may run at a time; streams may write and others read meanwhile.
     """
     if fmt == "delta":
         raise ValueError("delta tables have a compaction of their own")
-    live = read_table(spark, path, fmt)
+    live = read_table(spark, path, fmt, schema=logged_schema(spark, path) or adopt(spark, path, fmt))
     folders = [name for name in ("silver_table", "event_date") if name in live.columns]
     days = F.col("event_date").between(*(F.lit(iso_date(day)).cast("date") for day in (first, last or first)))
     open_ = _left(live, _compacted_files(spark, path)[1]).filter(days)
@@ -73,8 +69,8 @@ def compact_days(
     version = uuid.uuid4().hex
     rows = live.filter(days & F.col("_metadata.file_path").isin(files)).withColumn(_VERSION, F.lit(version))
     gathered = rows.hint("rebalance", *(F.col(name) for name in folders))
-    gathered.write.format(fmt).mode("append").partitionBy(_VERSION, *folders).save(_side(path, "compacted"))
+    append_table(gathered, side_table(path, "compacted"), fmt, (_VERSION, *folders))
     entries = [(row["event_date"], version, row["files"]) for row in by_day]
     manifest = spark.createDataFrame(entries, MANIFEST_DDL).coalesce(1)
-    manifest.write.mode("append").parquet(_side(path, "manifest"))
+    manifest.write.mode("append").parquet(side_table(path, "manifest"))
     return len(files)

@@ -27,6 +27,7 @@ from eventlake.operators.validity import observe_validity, route_topics, validat
 from eventlake.plans.event_types import EventType, default_event_types
 from eventlake.schemas import BRONZE_DDL
 from eventlake.sources.kafka import kafka_sink_options
+from eventlake.sources.schema_log import logged_schema
 from eventlake.sources.tables import DEFAULT_FORMAT, read_table_stream
 from eventlake.streaming.compaction import compact_days, read_compacted
 from eventlake.streaming.sinks import (
@@ -98,6 +99,8 @@ class Lake:
         kinds = {t.silver_table: t for t in event_types or default_event_types().values()}
         layer, _, table = name.partition("-")
         schema = BRONZE_DDL if layer == "bronze" else None
+        if schema is None and table not in kinds and self.fmt != "delta":
+            schema = logged_schema(spark, self._holder(name))
         if layer == "silver" and table in kinds:
             schema = silver_schema(spark, kinds[table])
             if self.shared_silver:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from eventlake.operators.silver import to_kafka_value
 from eventlake.sources.kafka import kafka_sink_options
+from eventlake.sources.schema_log import log_schema
 from eventlake.sources.tables import DEFAULT_FORMAT, path_exists
 
 # Trigger value that processes what is there and stops; anything else is an interval.
@@ -63,7 +64,7 @@ def append_stream(
 ) -> StreamingQuery:
     """Append a stream to a table; with a checkpoint, each row lands exactly once.
 
-    New columns are merged by table formats that support it; file tables merge on read.
+    New columns are merged by table formats that support it; those of file tables go to the log of their schema.
     ``partition_by`` lays the table out in folders. ``files_per_batch`` gathers a micro-batch
     into so many files at most, in each folder if there are any, instead of one for each task; folders
     are written by all cores. A new checkpoint over a file table that another one has written is refused: Spark's
@@ -72,6 +73,8 @@ def append_stream(
     spark = df.sparkSession
     if fmt != "delta" and path_exists(spark, f"{path}/_spark_metadata") and not path_exists(spark, f"{checkpoint}/metadata"):
         raise ValueError(f"{path} was written under another checkpoint than {checkpoint}")
+    if fmt != "delta":
+        log_schema(spark, path, df.schema)
     if files_per_batch and partition_by:
         part = F.pmod(F.xxhash64(*(F.col(f"`{name}`") for name in df.columns)), F.lit(files_per_batch))
         df = df.repartition(spark.sparkContext.defaultParallelism, *partition_by, part)
