@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from conftest import plan
 
 from eventlake.plans import medallion, reports
 from eventlake.plans.event_feed import kafka_rows, read_events
@@ -45,3 +46,12 @@ def test_ties_are_ordered_by_name(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "name string")
     rows = reports.top_by_count(df, "name", 2).collect()
     assert [(row["name"], row["count"]) for row in rows] == [("c", 2), ("a", 1)]
+
+
+def test_counts_read_no_columns(spark, sf_dir):
+    feed = kafka_rows(read_events(spark, sf_dir))
+    tables = medallion.written_layers(spark, feed, scratch_dir(spark, "counted"))
+    counts = reports.row_counts(tables)
+    schemas = [line.split("ReadSchema: ")[1] for line in plan(counts).splitlines() if "ReadSchema: " in line]
+    assert schemas == ["struct<>"] * len(tables)
+    assert {r["table"]: r["rows"] for r in counts.collect()} == {name: len(df.collect()) for name, df in tables.items()}
