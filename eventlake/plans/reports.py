@@ -8,7 +8,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventlake.sources.tables import DEFAULT_FORMAT, read_table, try_read
+from eventlake.sources.schema_log import read_logged
+from eventlake.sources.tables import DEFAULT_FORMAT, try_read
 
 log = logging.getLogger(__name__)
 
@@ -177,7 +178,7 @@ def report(
     fmt: str = DEFAULT_FORMAT,
 ) -> dict[str, dict[str, DataFrame]]:
     """Report DataFrames per table; missing or unreadable tables are skipped."""
-    return report_on(lambda name: read_table(spark, paths[name], fmt), tables)
+    return report_on(lambda name: read_logged(spark, paths[name], fmt), tables)
 
 
 def report_on(
