@@ -51,14 +51,15 @@ def tiled_search(
     asked: int,
     kernel: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     score: str,
+    block_queries: int | None = None,
 ) -> DataFrame:
-    """(query_id, vec_id, score) that ``kernel`` finds in each tile of rows and queries.
+    """(query_id, vec_id, score) that ``kernel`` finds in each tile of rows and ``block_queries`` (``TILE_QUERIES``) queries.
 
     Rows are dealt evenly to shards by key, queries to blocks; each pair of a shard and a
     block of equal dimension is one task's group, of bounded size. With one block every
     row is shuffled once; beyond, once per block, as comparing all with all requires.
     """
-    shards, blocks = max(1, -(-count // TILE_ROWS)), max(1, -(-asked // TILE_QUERIES))
+    shards, blocks = max(1, -(-count // TILE_ROWS)), max(1, -(-asked // (block_queries or TILE_QUERIES)))
     part = lambda n: F.pmod(F.xxhash64("vec_id", F.lit("tile")), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = rows.select("*", part(shards).alias("shard"), every(blocks).alias("block"))

@@ -1,0 +1,74 @@
+"""The index of substrings against all pairs of codes."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from fixtures import rows
+
+from eventlake.llm import mih, vectors
+
+
+def clustered(n, d, seed=0):
+    """A third of all rows about one centre, as many equal to one vector, the rest anywhere."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d))
+    x[: n // 3] = x[0] + rng.normal(scale=0.05, size=(n // 3, d))
+    x[n // 3 : 2 * (n // 3)] = x[-1]
+    return x[rng.permutation(n)]
+
+
+def table(spark, x):
+    return spark.createDataFrame([(i, v.tolist(), len(v)) for i, v in enumerate(x)], "vec_id bigint, v array<double>, d int")
+
+
+def expected(codes, x, every, k):
+    held = codes.indexed(x)
+    out = []
+    for q in range(0, len(x), every):
+        near = np.flatnonzero(np.bitwise_count(held ^ held[q]) <= mih.index_radius(x.shape[1]))
+        ranked = sorted((float(np.sqrt(((x[i] - x[q]) ** 2).sum())), int(i)) for i in near if i != q)
+        out += [(q, rank + 1, i, score) for rank, (score, i) in enumerate(ranked[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("d", [7, 40, 64, 100])
+@pytest.mark.parametrize("tile, block", [(4096, 8192), (32, 16)])
+def test_every_code_within_the_index_radius_is_ranked(spark, monkeypatch, d, tile, block):
+    monkeypatch.setattr(vectors, "TILE_ROWS", tile)
+    monkeypatch.setattr(mih, "BLOCK_QUERIES", block)
+    monkeypatch.setattr(mih, "_PAIRS", 4 * tile)
+    x = clustered(300, d)
+    codes = mih.fit_codes(x, 10)
+    found = mih.index_search(mih._coded(table(spark, x), {d: codes}), every=7, k=5)
+    assert sorted(rows(found)) == expected(codes, x, 7, 5)
+
+
+def test_pairs_meet_in_one_substring():
+    rng = np.random.default_rng(2)
+    for d in (7, 40, 64):
+        bits = min(d, mih.INDEXED)
+        for flips in range(min(bits, mih.index_radius(d)) + 1):
+            apart = sum(1 << int(63 - i) for i in rng.choice(bits, flips, replace=False))
+            assert mih._meeting(np.array([apart], np.uint64), d)[0] > mih._LAST - mih.substrings(d)
+
+
+def test_a_step_within_reach_stays_within_the_radius():
+    x = np.random.default_rng(3).normal(size=(2000, 64))
+    codes = mih.fit_codes(x, 10)
+    near = x + 0.9 * codes.reach * codes.distant(x)[:, None] * np.eye(64)[np.arange(2000) % 64]
+    flips = np.bitwise_count(codes.indexed(x) ^ codes.indexed(near))
+    assert codes.reach > 0 and (flips <= mih.index_radius(64)).mean() >= mih.COVER
+
+
+def test_queries_in_dense_groups_need_no_tiles(spark, monkeypatch):
+    """Their lists are exact and come from the index alone."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 64))
+    x = centres[np.arange(800) % 20] + rng.normal(scale=1e-3, size=(800, 64))
+    monkeypatch.setattr(mih, "tiled_search", None)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = sorted(rows(mih.mih_search(df, every=100)))
+    for q in range(0, 800, 100):
+        exact = sorted((float(np.sqrt(((v - x[q]) ** 2).sum())), i) for i, v in enumerate(x) if i != q)[:10]
+        assert [r[2] for r in found if r[0] == q] == [i for _, i in exact]
