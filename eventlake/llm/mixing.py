@@ -7,15 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventlake.llm.common import materialised
+from eventlake.llm.common import materialised, written
 
 WEIGHTS = (1, 2, 3)
 #: A source gives at most so many times its own words.
 REPEATS = 3
 #: Words of a schedule's slot, about.
 SLOT_WORDS = 1024
-#: Sources up to this number are broadcast: some MB at most.
-BROADCAST_SOURCES = 20_000
 #: Parts that a running total is taken in, so that no source is one task's work.
 _CHUNKS = 4096
 
@@ -137,10 +135,9 @@ def mix(
             word_count(text).alias("size"),
         )
     )
-    targets = materialised(source_targets(sized, weights))
-    # One row per source; a table of very many is left to Spark's own choice of join.
-    few = F.broadcast if targets.count() <= BROADCAST_SOURCES else (lambda df: df)
-    named = sized.join(few(targets), sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+    # One row per source, as a table whose bytes Spark knows when it chooses the joins.
+    targets = written(source_targets(sized, weights))
+    named = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     shuffled = F.md5(F.concat_ws(":", "shuffle", F.col("size").cast("string")))
     chunk = F.conv(F.substring("order", 1, int(math.log2(_CHUNKS)) // 4), 16, 10).cast("int")
     named = named.withColumn("order", shuffled).withColumn("chunk", chunk)
@@ -150,7 +147,7 @@ def mix(
     size, whole, start = F.col("size"), F.col("source_size"), F.col("start")
     passes = F.sequence(F.lit(0).cast("long"), F.expr("(words - 1 - start) div source_size"))
     slots = schedule(targets, slot_words)
-    steps = few(_ranges(targets, slot_words)[0].select("number", "slot_size"))
+    steps = _ranges(targets, slot_words)[0].select("number", "slot_size")
     blocks = (
         line.filter("size > 0 and start < words")
         .select("number", "start", "size", "source_size", "words", F.explode(passes).alias("pass"))
