@@ -11,6 +11,8 @@ from eventlake.llm.common import materialised, read, remainder, shared_folder
 
 #: A document stays if its language is known with this score at least.
 LANGUAGE_SCORE = 0.5
+#: A text is in no known language if eight bits a byte, which need no model, are shorter by more bits than these.
+UNFIT_BITS = 64
 #: Stands before a stage's input columns, so that what it adds clashes with none.
 _MARK = "in_"
 
@@ -40,7 +42,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language: those without letters and the undecided go.
+    """Documents in a known language: those without letters, the undecided and those that no language's model shortens go.
+
+    The last are texts in scripts that no learned language has, and noise; ``UNFIT_BITS`` spares short ones.
 
     Null and empty texts have no letters, so they go, as all do where no language can be learned; long texts are read
     whole, repeated rows judged alike.
@@ -48,7 +52,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     languages, model = language.learn(docs.filter(remainder("doc_id", 3) != 1))
     found = language.identify(_marked(docs), languages, model, _MARK + "text")
     known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LANGUAGE_SCORE)
-    return found.filter(known).select(*_unmarked(found))
+    size = F.octet_length(_MARK + "text")
+    fits = F.col("bits_per_byte") * size <= 8 * size + UNFIT_BITS
+    return found.filter(known & fits).select(*_unmarked(found))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
