@@ -46,6 +46,17 @@ def test_filters_keep_what_their_operators_accept(spark, sf_dir):
     assert sorted(rows(kept.select("doc_id"))) == sorted(rows(known))
 
 
+def test_language_stage_rejects_what_no_learned_language_shortens(spark, tmp_path):
+    learned = [(i, prose(i, 120), "en", "a", 1) for i in range(60)]
+    short = [(100, "Z.", "en", "a", 1), (101, "AKIA9Q", "en", "a", 1), (102, prose(7, 60) + " password=9C82E4685CA7", "en", "a", 1)]
+    noise = "".join(chr(0x21 + (i * i * 7 + i * 13) % 94) for i in range(2000))
+    odd = [(200, "съешь ещё этих мягких французских булок " * 5, None, "a", 1), (201, "日本語のテキストです" * 10, None, "a", 1)]
+    odd += [(202, noise, None, "a", 1)]
+    docs = table(spark, learned + short + odd, str(tmp_path / "docs"))
+    found = sorted(r[0] for r in rows(corpus_pipeline.language_stage(spark, docs, "")))
+    assert found == [*range(60), 100, 101, 102]
+
+
 def test_dedup_keeps_one_of_each_group(spark, tmp_path):
     words = prose(1, 400).split()
     near = " ".join(words[:200] + ["changed"] + words[201:])
