@@ -56,15 +56,20 @@ def add_users(spark: SparkSession, inits: DataFrame, dictionary: str, fmt: str =
     return read_table(spark, dictionary, fmt)
 
 
+def _seen(inits: DataFrame) -> DataFrame:
+    """One init for each day, country, platform and user."""
+    if "event_date" not in inits.columns:
+        inits = inits.withColumn("event_date", event_date())
+    return inits.select(*GROUPS, "`user-id`").distinct()
+
+
 def user_bitmaps(inits: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(event_date, country_name, platform, block, users): the users of each group and block of numbers as bits.
 
     A group whose inits all lack a user has a row without bits. Repeated users are dropped before they meet
     the dictionary, so that of a hot user only one row for each group does.
     """
-    if "event_date" not in inits.columns:
-        inits = inits.withColumn("event_date", event_date())
-    seen = inits.select(*GROUPS, F.col("`user-id`").alias("user")).distinct()
+    seen = _seen(inits).withColumnRenamed("user-id", "user")
     # Users without a name are few rows now, one a group.
     known, unknown = seen.filter("user is not null"), seen.filter("user is null").drop("user")
     numbers = known.join(dictionary, "user").select(*GROUPS, "number")
@@ -84,12 +89,17 @@ def write_user_rollup(
     """Bring dictionary and rollup up to date with the days of ``inits``, whose rows must be whole days.
 
     These days are replaced, others stay. A crash in between leaves users in the dictionary that no bitmap has yet, which
-    changes no count.
+    changes no count. ``inits`` are computed once: what both tables need of them, each group's users without repeats, is
+    kept on the executors until both are written.
     """
-    numbers = add_users(spark, inits, dictionary, fmt)
-    bitmaps = user_bitmaps(inits, numbers).hint("rebalance", F.col("event_date"))
-    writer = bitmaps.write.format(fmt).partitionBy("event_date").mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").save(rollup)
+    seen = _seen(inits).persist()
+    try:
+        numbers = add_users(spark, seen, dictionary, fmt)
+        bitmaps = user_bitmaps(seen, numbers).hint("rebalance", F.col("event_date"))
+        writer = bitmaps.write.format(fmt).partitionBy("event_date").mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").save(rollup)
+    finally:
+        seen.unpersist()
 
 
 def users_from_rollup(

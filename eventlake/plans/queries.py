@@ -309,10 +309,13 @@ _BY_DAY_AND_COUNTRY = ("event_date", "country_name")
 def _user_rollup(
     spark, sf_dir, by: Sequence[str] = user_rollup.GROUPS, days: Sequence[str] = (None, None)
 ) -> DataFrame:
-    """Distinct users from a rollup of bitmaps that was written in two steps."""
+    """Distinct users from a rollup of bitmaps that was written in two steps, over inits laid out by day."""
     root = scratch_dir(spark, "user-rollup")
-    inits = _silver(spark, sf_dir, "init")
-    earlier = event_date() < F.lit(_ROLLUP_CUT).cast("date")
+    rows = _silver(spark, sf_dir, "init").select("time", "user-id", "country_name", "platform")
+    rows = rows.withColumn("event_date", event_date())
+    rows.write.partitionBy("event_date").parquet(f"{root}/init")
+    inits = read_table(spark, f"{root}/init", schema=rows.schema)
+    earlier = F.col("event_date") < F.lit(_ROLLUP_CUT).cast("date")
     for part in (inits.filter(earlier), inits.filter(~earlier)):
         user_rollup.write_user_rollup(spark, part, f"{root}/rollup", f"{root}/dictionary")
     return user_rollup.users_from_rollup(read_table(spark, f"{root}/rollup"), by, *days)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import plan
 from eventlake.operators import user_rollup
 from eventlake.operators.daily import daily_users, daily_users_by_country
+from eventlake.plans import queries
 from eventlake.sources.tables import read_table, scratch_dir
 
 BASE = 1_704_067_200
@@ -41,6 +42,34 @@ def same(found, expected):
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
 
 
+def counted(spark, df):
+    """The rows, and a count of how often one of them was computed."""
+    times = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def passed(value):
+        times.add(1)
+        return value
+
+    return df.withColumn("user-id", passed("user-id")), times
+
+
+def test_inits_are_computed_once(spark, paths):
+    for days in ([0, 1], [2]):
+        part = inits(spark, days)
+        rows, times = counted(spark, part)
+        user_rollup.write_user_rollup(spark, rows, *paths)
+        assert times.value == part.count()
+
+
+def test_the_query_parses_each_event_once(spark, sf_dir, monkeypatch):
+    made, silver = [], queries._silver
+    monkeypatch.setattr(queries, "_silver", lambda *args: made.append(counted(spark, silver(*args))) or made[-1][0])
+    queries.QUERIES["rollup_users_range"](spark, sf_dir).collect()
+    [(_, times)] = made
+    assert times.value == silver(spark, sf_dir, "init").count()
+
+
 def test_days_countries_and_ranges(spark, paths):
     everything = None
     for days in ([0, 1], [2], [3, 4, 5]):
