@@ -17,18 +17,22 @@ BROKEN_JSON = "{bad"
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table, dealt over all cores: the given file is a single row group."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.repartition(spark.sparkContext.defaultParallelism)
+    return _dealt(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def _dealt(events: DataFrame) -> DataFrame:
+    # By number: dealing rows out in turn would first sort them all in the one task that reads them.
+    return events.repartition(events.sparkSession.sparkContext.defaultParallelism, "event_id")
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream, read in place.
+    """The events table as a stream, read in place and dealt over all cores as :func:`read_events` does.
 
     The path is a glob because the file source takes a single file only that way;
     it matches a folder of part files as well.
     """
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
+    return _dealt(spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet"))
 
 
 def _pick(values: tuple[str, ...], position: Column) -> Column:

@@ -45,7 +45,8 @@ class Lake:
 
     ``by_day`` lays bronze and silver tables out in one folder per day of the message or
     event, in a further column ``event_date``; late events go to their own day.
-    ``files_per_batch`` bounds the files that a micro-batch adds to each folder. ``shared_silver`` keeps all silver rows
+    ``files_per_batch`` bounds the files that a micro-batch adds to each folder; without folders by day, large files
+    become several. ``shared_silver`` keeps all silver rows
     in one table with a folder for each event type, written by one query that parses bronze once;
     without it there are a query and a table for each type.
     """

@@ -67,7 +67,8 @@ def append_stream(
     New columns are merged by table formats that support it; those of file tables go to the log of their schema.
     ``partition_by`` lays the table out in folders. ``files_per_batch`` gathers a micro-batch
     into so many files at most, in each folder if there are any, instead of one for each task; folders
-    are written by all cores. A new checkpoint over a file table that another one has written is refused: Spark's
+    are written by all cores. Without folders, files above Spark's advisory partition size become several, so that a
+    large micro-batch is written, and later read, by more than so many tasks; stateful queries keep to the number. A new checkpoint over a file table that another one has written is refused: Spark's
     file sink knows batches by number and would take the new ones for repeated ones.
     """
     spark = df.sparkSession
@@ -78,6 +79,8 @@ def append_stream(
     if files_per_batch and partition_by:
         part = F.pmod(F.xxhash64(*(F.col(f"`{name}`") for name in df.columns)), F.lit(files_per_batch))
         df = df.repartition(spark.sparkContext.defaultParallelism, *partition_by, part)
+    elif files_per_batch and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        df = df.hint("rebalance", files_per_batch)
     elif files_per_batch:
         df = df.repartition(files_per_batch)
     writer = (

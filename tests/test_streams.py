@@ -319,6 +319,30 @@ def test_tables_by_day(spark, sf_dir, shared):
     assert read_table(spark, lake.table("gold-daily-users")).count() == first
 
 
+def test_the_feed_is_dealt_over_all_cores(spark, sf_dir, lake):
+    run(stream_events(spark, sf_dir).select(F.spark_partition_id().alias("task")), lake, "gold-tasks")
+    tasks = read_table(spark, lake.table("gold-tasks"))
+    assert tasks.distinct().count() == spark.sparkContext.defaultParallelism
+    assert tasks.count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+
+
+def test_large_batches_of_flat_tables_are_written_by_more_tasks(spark, sf_dir):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    rows = []
+    for bytes_each, enough in ((before, lambda files: files <= 2), ("10k", lambda files: files > 4)):
+        flat = jobs.Lake(scratch_dir(spark, "flat"), by_day=False, files_per_batch=2)
+        spark.conf.set(size, bytes_each)
+        try:
+            supervise.await_all([jobs.run_bronze(kafka_rows(stream_events(spark, sf_dir)), flat, AVAILABLE_NOW)])
+        finally:
+            spark.conf.set(size, before)
+        bronze = flat.read(spark, "bronze")
+        assert enough(bronze.select("_metadata.file_path").distinct().count())
+        rows.append(sorted(map(str, bronze.drop("ingestion_timestamp").collect())))
+    assert rows[0] == rows[1]
+
+
 def test_published_rows_are_counted(spark, lake):
     source = lake.table("raw")
     good = '{"event-type":"in-app-purchase","time":%d,"purchase_value":1.5,"user-id":"u","product-id":"p"}'
