@@ -247,6 +247,11 @@ def _seconds(df: DataFrame, keys: Sequence[Column], delay: str, *sums: Column) -
     )
 
 
+def _span(moment: Column, lookback: int) -> Column:
+    """Number of the span of time, twice as long as the look-back, that a moment lies in."""
+    return F.floor(F.unix_seconds(moment) / max(2 * lookback, 1))
+
+
 def _joined(
     left: DataFrame, inits: DataFrame, user: str, lookback: int, delay: str
 ) -> DataFrame:
@@ -254,7 +259,9 @@ def _joined(
 
     Both sides carry a watermark, so the state store drops inits once nothing can reach
     them and emits what stayed unmatched. A user's state has at most one row per second and
-    country, however many inits there were. Rows without a user can match nothing: a hash stands in for their join
+    country, however many inits there were, and one more if the init reaches into the next span of time. Rows meet
+    within a user's span only: however many days a micro-batch brings, an event is compared with the inits of three days
+    at most (of one span and a look-back), not with all of its user's. Rows without a user can match nothing: a hash stands in for their join
     key, so they are dealt over all tasks, and the condition refuses them before
     the join, so they pass at once without ever being kept.
     """
@@ -262,16 +269,21 @@ def _joined(
     known = inits.filter(F.col("`user-id`").isNotNull())
     right = _seconds(known, keys, delay, F.count(F.lit(1)).alias("copies"))
     right = right.withColumnRenamed("_moment", "_init_moment")
+    moment, reach = F.col("_init_moment"), F.expr(f"interval {lookback} seconds")
+    spans = F.sequence(_span(moment, lookback), _span(moment + reach, lookback))
+    right = right.withColumn("_init_span", F.explode(spans))
     name = F.col(f"`{user}`")
     stand_in = F.xxhash64(*(F.col(f"`{column}`") for column in left.columns))
     left = left.withColumn("_key", F.coalesce(name, stand_in.cast("string")))
+    left = left.withColumn("_span", _span(F.col("_moment"), lookback))
     condition = (
         (F.col("_key") == F.col("_init_user"))
+        & (F.col("_span") == F.col("_init_span"))
         & name.isNotNull()
-        & (F.col("_init_moment") <= F.col("_moment"))
-        & (F.col("_init_moment") >= F.col("_moment") - F.expr(f"interval {lookback} seconds"))
+        & (moment <= F.col("_moment"))
+        & (moment >= F.col("_moment") - reach)
     )
-    joined = left.join(right, condition, "left").drop("_init_user", "_init_moment", "_key")
+    joined = left.join(right, condition, "left").drop("_init_user", "_init_moment", "_init_span", "_key", "_span")
     return joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
 
 

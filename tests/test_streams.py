@@ -17,7 +17,7 @@ from eventlake.plans.event_feed import kafka_rows, stream_events
 from eventlake.schemas import BRONZE_DDL
 from eventlake.sources.tables import read_table, read_table_stream, scratch_dir
 from eventlake.streaming import jobs, sinks, supervise
-from eventlake.streaming.progress import logged_progress, recent_progress
+from eventlake.streaming.progress import join_state, logged_progress, recent_progress
 from eventlake.streaming.sinks import AVAILABLE_NOW
 
 PURCHASE = "time bigint, `user-id` string, purchase_value double"
@@ -415,6 +415,31 @@ def test_state_of_a_hot_user_grows_with_seconds(spark, lake):
     assert (row["purchase_count"], row["distinct_users"]) == (262_500, 1)
 
 
+def test_events_meet_inits_of_their_span_of_time_only(spark, lake):
+    """A user's rows at both ends of the look-back and around the starts of spans, which are days of the feed."""
+    day = 86400
+    moments = [d * day + s for d in range(6) for s in (0, 1, 4000, day - 1)]
+    add_inits(spark, lake, [(m, "u", "US" if m % 2 else "UK") for m in moments])
+    source = lake.table("silver-purchase")
+    add(spark, source, moments)
+    by_country(spark, lake)
+    mark = BASE + moments[-1] - 600
+    batch = minute.minute_purchases_by_country(
+        read_table(spark, source), read_table(spark, lake.table("silver-init"))
+    ).filter(F.col("window_end") <= F.timestamp_seconds(F.lit(mark - day)))
+    gold = read_table(spark, lake.table("gold-by-country"))
+    found = [sorted(map(str, df.drop("aggregation_timestamp").collect())) for df in (gold, batch)]
+    assert found[0] == found[1] and found[0]
+    checkpoint = lake.checkpoint("gold-by-country")
+    kept = join_state(spark, checkpoint)
+    seconds = sorted(row[0] for row in kept.select(F.unix_seconds("_init_moment")).collect())
+    assert seconds == [BASE + m for m in moments if mark - day <= BASE + m < mark]
+    operator = spark.read.format("state-metadata").load(checkpoint).filter("operatorName = 'symmetricHashJoin'")
+    state = spark.read.format("statestore").option("operatorId", operator.first()["operatorId"])
+    keys = state.option("joinSide", "right").load(checkpoint).select("key").distinct()
+    assert keys.count() == 2  # All are of one user.
+
+
 def test_enriched_stream_adds_up_to_the_batch(spark, lake):
     add_inits(spark, lake, [(0, "a", "US"), (0, "a", "US"), (5, "a", "US"), (7, "a", "UK")])
     add(spark, lake.table("silver-purchase"), [6, 8, 200 * 3600], "ab")
